@@ -43,3 +43,9 @@ def test_parts(spark):
     got = [r.p for r in df.orderBy("i").select(canonical_parts(F.col("t")).alias("p")).collect()]
     assert got[0] == got[1] and got[2] == got[3] != got[4] and got[5] == got[6] and got[7] is None and got[8] == ""
     assert len(got[9]) == 3 * 50_000 - 1 and PART
+
+
+def test_white_space_between_letters(spark):
+    rows = [(1, "GasBrix 10"), (2, "brix-10 gas"), (3, "Gas Brix 10"), (4, "GASBRIX/10"), (5, "Gas Brix 1 0"), (6, None)]
+    df = spark.createDataFrame(rows, "item_no long, model string")
+    assert {tuple(r) for r in format_copies(df, "item_no", ["model"], []).collect()} == {(1, 3), (1, 4), (1, 2)}

@@ -21,14 +21,44 @@ from vaunu.session import materialize
 PART = r"[0-9]+(?:[.,][0-9]+)*|[^0-9\s\x85\p{Z}\p{P}$+<=>^`|~]+"
 
 
+def parts(column: Column) -> Column:
+    """The parts of a text as written, in small letters, with a point as decimal mark.
+
+    Figures and letters are parts of their own, so that ``3 ov`` and ``3ov`` agree. Null stays null.
+    """
+    found = F.regexp_extract_all(F.lower(F.upper(column)), F.lit(PART), F.lit(0))
+    return F.transform(found, lambda p: F.replace(p, F.lit(","), F.lit(".")))
+
+
 def canonical_parts(column: Column) -> Column:
-    """The parts of a text in one order: white space, case, punctuation and order no longer count.
+    """The parts in one order: white space, case, punctuation and order no longer count."""
+    return F.array_join(F.array_sort(parts(column)), " ")
+
+
+def _joined(found: Column) -> Column:
+    """The parts in written order without white space, but for that between two figures, which counts."""
+    return F.regexp_replace(F.array_join(found, " "), "(?<![0-9]) | (?![0-9])", "")
 
-    A comma or point between figures stays, as a point. Figures and letters are parts of their own,
-    so that ``3 ov`` and ``3ov`` agree. Null stays null, which differs from a text without parts.
+
+def _resolve_joined(records: DataFrame, i: int) -> DataFrame:
+    """Give texts that differ by white space between letters (``GasBrix``, ``Gas Brix``) the same ``c{i}``.
+
+    Texts with one spelling when joined get the finest split that any record has. Only joined
+    spellings with several splits go into the dictionary, so its size follows the distinct names.
     """
-    parts = F.regexp_extract_all(F.lower(F.upper(column)), F.lit(PART), F.lit(0))
-    return F.array_join(F.array_sort(F.transform(parts, lambda p: F.replace(p, F.lit(","), F.lit(".")))), " ")
+    splits = (
+        records.where(F.col(f"j{i}").isNotNull())
+        .groupBy(F.col(f"j{i}").alias("joined"))
+        .agg(
+            F.max(F.struct(F.length(f"c{i}"), f"c{i}"))[f"c{i}"].alias("finest"),
+            F.min(f"c{i}").alias("low"),
+            F.max(f"c{i}").alias("high"),
+        )
+        .where("low != high")
+        .select("joined", "finest")
+    )
+    matched = records.join(splits, F.col(f"j{i}") == F.col("joined"), "left")
+    return matched.withColumn(f"c{i}", F.coalesce("finest", f"c{i}")).drop("joined", "finest", f"j{i}")
 
 
 def _exact(name: str, kind: T.DataType) -> Column:
@@ -81,9 +111,16 @@ def format_copies(df: DataFrame, row: str, loose: list[str], ignore: list[str])
     both. An empty table gives no rows. Whole texts count, of whatever length.
     """
     exact = [f for f in df.schema if f.name not in {row, *loose, *ignore}]
-    fields = [canonical_parts(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(loose)]
-    fields += [_exact(f.name, f.dataType).alias(f"e{i}") for i, f in enumerate(exact)]
-    records = df.select(F.to_json(F.struct(*fields)).alias("key"), F.col(row).cast("long").alias("row"))
+    rest = F.to_json(F.struct(*[_exact(f.name, f.dataType).alias(f"e{i}") for i, f in enumerate(exact)])) if exact else F.lit("")
+    records = df.select(
+        F.col(row).cast("long").alias("row"), rest.alias("rest"), *[parts(F.col(f"`{c}`")).alias(f"p{i}") for i, c in enumerate(loose)]
+    )
+    for i in range(len(loose)):
+        records = records.withColumns({f"c{i}": F.array_join(F.array_sort(f"p{i}"), " "), f"j{i}": _joined(F.col(f"p{i}"))}).drop(f"p{i}")
+    for i in range(len(loose)):
+        records = _resolve_joined(records, i)
+    key = F.to_json(F.struct(*[f"c{i}" for i in range(len(loose))], "rest"))
+    records = records.select(key.alias("key"), "row")
     ordered = (
         records.withColumn("hash", F.xxhash64("key"))
         .repartitionByRange("hash", "key", "row")

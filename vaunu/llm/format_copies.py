@@ -40,27 +40,37 @@ def _joined(found: Column) -> Column:
     return F.regexp_replace(F.array_join(found, " "), "(?<![0-9]) | (?![0-9])", "")
 
 
-def _resolve_joined(records: DataFrame, i: int) -> DataFrame:
-    """Give texts that differ by white space between letters (``GasBrix``, ``Gas Brix``) the same ``c{i}``.
+def _splits(records: DataFrame, n: int) -> DataFrame:
+    """``i, joined, finest``: for texts that differ by white space between letters, the finest split that any record has.
 
-    Texts with one spelling when joined get the finest split that any record has. Only joined
-    spellings with several splits go into the dictionary, so its size follows the distinct names.
+    Hashes find the joined spellings that have several splits; only those are then looked at as text.
+    Both results are written, so that the planner knows their size and broadcasts them only if small.
     """
-    splits = (
-        records.where(F.col(f"j{i}").isNotNull())
-        .groupBy(F.col(f"j{i}").alias("joined"))
-        .agg(
-            F.max(F.struct(F.length(f"c{i}"), f"c{i}"))[f"c{i}"].alias("finest"),
-            F.min(f"c{i}").alias("low"),
-            F.max(f"c{i}").alias("high"),
-        )
-        .where("low != high")
-        .select("joined", "finest")
+    cells = records.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"j{i}").alias("joined"), F.col(f"c{i}").alias("split")) for i in range(n)])).alias("x"))
+    cells = cells.select("x.*").where(F.col("joined").isNotNull())
+    hashed = cells.select("i", F.xxhash64("joined").alias("h"), F.xxhash64("split").alias("s"))
+    several = materialize(hashed.groupBy("i", "h").agg(F.min("s").alias("a"), F.max("s").alias("b")).where("a != b").select("i", "h"))
+    return materialize(
+        cells.withColumn("h", F.xxhash64("joined"))
+        .join(several, ["i", "h"], "left_semi")
+        .groupBy("i", "joined")
+        .agg(F.max(F.struct(F.length("split"), "split"))["split"].alias("finest"))
     )
-    matched = records.join(splits, F.col(f"j{i}") == F.col("joined"), "left")
+
+
+def _resolve_joined(records: DataFrame, splits: DataFrame, i: int) -> DataFrame:
+    """Give texts with one joined spelling (``GasBrix``, ``Gas Brix``) the same ``c{i}``."""
+    own = splits.where(F.col("i") == i).select("joined", "finest")
+    matched = records.join(own, F.col(f"j{i}") == F.col("joined"), "left")
     return matched.withColumn(f"c{i}", F.coalesce("finest", f"c{i}")).drop("joined", "finest", f"j{i}")
 
 
+def _framed(column: Column, kind: T.DataType) -> Column:
+    """A value as text with its length before it, so that joined values stay apart; null is ``-``."""
+    text = F.to_json(column) if isinstance(kind, T.ArrayType | T.StructType | T.MapType) else column.cast("string")
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
 def _exact(name: str, kind: T.DataType) -> Column:
     column = F.col(f"`{name}`")
     return column + F.lit(0.0) if isinstance(kind, T.DoubleType | T.FloatType) else column
@@ -111,15 +121,16 @@ def format_copies(df: DataFrame, row: str, loose: list[str], ignore: list[str])
     both. An empty table gives no rows. Whole texts count, of whatever length.
     """
     exact = [f for f in df.schema if f.name not in {row, *loose, *ignore}]
-    rest = F.to_json(F.struct(*[_exact(f.name, f.dataType).alias(f"e{i}") for i, f in enumerate(exact)])) if exact else F.lit("")
+    rest = F.concat(F.lit(""), *[_framed(_exact(f.name, f.dataType), f.dataType) for f in exact])
     records = df.select(
         F.col(row).cast("long").alias("row"), rest.alias("rest"), *[parts(F.col(f"`{c}`")).alias(f"p{i}") for i, c in enumerate(loose)]
     )
     for i in range(len(loose)):
         records = records.withColumns({f"c{i}": F.array_join(F.array_sort(f"p{i}"), " "), f"j{i}": _joined(F.col(f"p{i}"))}).drop(f"p{i}")
+    splits = _splits(records, len(loose))
     for i in range(len(loose)):
-        records = _resolve_joined(records, i)
-    key = F.to_json(F.struct(*[f"c{i}" for i in range(len(loose))], "rest"))
+        records = _resolve_joined(records, splits, i)
+    key = F.concat(*[_framed(F.col(f"c{i}"), T.StringType()) for i in range(len(loose))], "rest")
     records = records.select(key.alias("key"), "row")
     ordered = (
         records.withColumn("hash", F.xxhash64("key"))

@@ -5,12 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaunu.llm import format_copies, survivors
+from vaunu.llm import format_copies, lookalikes, survivors
 from vaunu.session import table
 
 COPY_IGNORES = ["id", "source_rank", "source_records", "updated_at", "loaded_at"]
 
 
+def _disguised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = table(spark, sf_dir, "ref_models")
+    also = known.select(F.col("brand").alias("value")).unionByName(known.select(F.col("model").alias("value")))
+    return lookalikes.disguised(table(spark, sf_dir, "vehicle_items"), "item_no", ["brand", "model"], also)
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _disguised(spark, sf_dir).select("item_no", "field")
+
+
+def p2_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _disguised(spark, sf_dir)
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_copies.format_copies(table(spark, sf_dir, "vehicle_items"), "item_no", ["model", "variant"], COPY_IGNORES)
 
@@ -33,6 +47,8 @@ def p7_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p2_found": p2_found,
+    "p2_unified": p2_unified,
     "p5_found": p5_found,
     "p5_collapsed": p5_collapsed,
     "p7_found": p7_found,

@@ -59,3 +59,15 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/vaunu-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` over enough partitions to keep all cores busy with work that is heavy for its bytes.
+
+    For scans of few bytes only: one that already has a partition for each core stays as it is.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= 2 * cores:
+        return df
+    return df.repartition(max(4 * cores, int(spark.conf.get("spark.sql.shuffle.partitions"))), key)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaunu.llm import format_copies, lookalikes, survivors
+from vaunu.llm import bpe, format_copies, lookalikes, matching, mixing, reference_map, survivors
 from vaunu.session import table
 
 COPY_IGNORES = ["id", "source_rank", "source_records", "updated_at", "loaded_at"]
@@ -25,6 +25,17 @@ def p2_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _disguised(spark, sf_dir)
 
 
+def p4_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.match(
+        matching.item_features(table(spark, sf_dir, "vehicle_items")),
+        matching.candidate_features(table(spark, sf_dir, "eea_candidates")),
+    )
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p4_matched(spark, sf_dir).select("item_no", "cand_id")
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_copies.format_copies(table(spark, sf_dir, "vehicle_items"), "item_no", ["model", "variant"], COPY_IGNORES)
 
@@ -34,6 +45,10 @@ def p5_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.select("item_no", "brand", "model", "variant", "n_copies")
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reference_map.map_entries(table(spark, sf_dir, "admin_entries"), table(spark, sf_dir, "ref_models"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     winners = survivors.field_winners(table(spark, sf_dir, "vehicle_items"))
     return winners.where("n_rows > 1").select("id", "co2_no", "count_no", "records_no")
@@ -46,13 +61,32 @@ def p7_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(table(spark, sf_dir, "documents"))
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = bpe.token_counts(table(spark, sf_dir, "documents"), ["doc_id", "source"])
+    return mixing.mix(sized, table(spark, sf_dir, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.shares(p9_mix(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_unified": p2_unified,
+    "p4_found": p4_found,
+    "p4_matched": p4_matched,
     "p5_found": p5_found,
     "p5_collapsed": p5_collapsed,
+    "p6_found": p6_found,
     "p7_found": p7_found,
     "p7_survivors": p7_survivors,
+    "p8_ids": p8_ids,
+    "p9_mix": p9_mix,
+    "p9_shares": p9_shares,
 }
 
 SQL = {

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,8 +30,26 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers of ``spark``, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="vaunu-")) / "vaunu.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(target))
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the test tables; a Parquet file or a directory of them."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaunu.llm import bpe, format_copies, lookalikes, matching, mixing, reference_map, survivors
+from vaunu.llm import bpe, format_copies, lookalikes, matching, mixing, reference_map, spellings, survivors
 from vaunu.session import table
 
 COPY_IGNORES = ["id", "source_rank", "source_records", "updated_at", "loaded_at"]
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spellings.same_maker_pairs(table(spark, sf_dir, "brand_entries"))
+
+
+def p1_makers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spellings.makers(table(spark, sf_dir, "brand_entries"))
+
+
 def _disguised(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = table(spark, sf_dir, "ref_models")
     also = known.select(F.col("brand").alias("value")).unionByName(known.select(F.col("model").alias("value")))
@@ -75,6 +83,8 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_makers": p1_makers,
     "p2_found": p2_found,
     "p2_unified": p2_unified,
     "p4_found": p4_found,

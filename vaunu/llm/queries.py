@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaunu.llm import bpe, format_copies, lookalikes, matching, mixing, reference_map, spellings, survivors
+from vaunu.llm import bpe, format_copies, lookalikes, matching, mixing, pii, reference_map, spellings, survivors
 from vaunu.session import table
 
+#: A key for tests and demonstrations; a real run passes its own secret.
+SURROGATE_KEY = b"not a secret"
 COPY_IGNORES = ["id", "source_rank", "source_records", "updated_at", "loaded_at"]
 
 
@@ -82,6 +84,18 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(p9_mix(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.found_pieces(table(spark, sf_dir, "documents"))
+
+
+def p10_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.redacted(table(spark, sf_dir, "documents"))
+
+
+def p10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.redacted(table(spark, sf_dir, "documents"), key=SURROGATE_KEY)
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_makers": p1_makers,
@@ -97,6 +111,9 @@ QUERIES = {
     "p8_ids": p8_ids,
     "p9_mix": p9_mix,
     "p9_shares": p9_shares,
+    "p10_found": p10_found,
+    "p10_redacted": p10_redacted,
+    "p10_surrogates": p10_surrogates,
 }
 
 SQL = {

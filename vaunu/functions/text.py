@@ -270,8 +270,7 @@ def strip_code_letter(column: Column) -> Column:
 
 def is_designation(model: Column, variant: Column) -> Column:
     """The model is no more than the variant's technical designation."""
-    key = model_key(F.lit(""), model)
-    return (key != "") & (key == model_key(F.lit(""), variant_base(variant)))
+    return let(fold(model), lambda key: (key != "") & (key == fold(variant_base(variant))))
 
 
 def is_unknown(make: Column, model: Column) -> Column:

@@ -22,11 +22,11 @@ def test_read():
 def test_tree_equals_all_pairs():
     random.seed(3)
     base = ["lipaho", "nimhaksil", "kokido"]
-    names = {tuple(sorted((typo(random.choice(base)), typo(random.choice(base))))) for _ in range(120)} | {("lip.", "nimhaksil"), ("lipahonimhaksil", "")}
+    names = {tuple(sorted((typo(random.choice(base)), typo(random.choice(base))))) for _ in range(120)} | {("lip.", "nimhaksil"), ("lipahonimhaksil", ""), ("lipaho", "nimh."), ("lipahonimhaksl", "")}
     names = sorted(names)
     got = {(min(i, j), max(i, j)): d for i, j, d in near(names)}
     cut = {i for i, n in enumerate(names) if n[0].endswith(".") or n[1].endswith(".")}
-    want = {(i, j): d for i, j in itertools.combinations(range(len(names)), 2) if not {i, j} <= cut and (d := distance(names[i], names[j])) <= RADIUS}
+    want = {(i, j): d for i, j in itertools.combinations(range(len(names)), 2) if (d := distance(names[i], names[j])) <= (0 if {i, j} <= cut else RADIUS)}
     assert got == want
 
 
@@ -38,6 +38,7 @@ def typo(word):
 
 
 def test_distance():
+    assert edits("abcd", "abdc", 2) == 1 and edits("ca", "abc", 3) == 2 and edits("abc", "abc", 0) == 0
     assert edits("abc", "abd", 2) == 1 and edits("abc", "xyz", 2) == 3 and edits("", "ab", 2) == 2
     assert distance(("a", "bcd"), ("bcd", "a")) == 0 and distance(("lip.", "xyz"), ("lipaho", "xyz")) == 0
 
@@ -53,10 +54,11 @@ def test_pairs(spark):
         (1, "Robert Lipaho-Nimhaksil Karosseri Ab"), (2, "BOB LIPAHO NIMHAKSIL KAROSS."), (3, "Nimhakksil-Lipaho, R. Karosseri"), (4, "Robert Lipa. Nimhaksil"),
         (5, "Richard Lipaho-Nimhaksil Karosseri"), (6, "Robert Lipaho-Nimhaksil Caravans"), (7, None), (8, "-"), (9, "Tuntematon"), (10, "Tuntematon"),
         (11, "Kokido-Vondekvas Cvns"), (12, "KokidoVondékvas"), (13, "Kokido-Vondekvas Caravans"), (14, "y" * 5000), (15, " "),
+        (21, "Haha. Hussoktek Trailers"), (22, "Hahaki Hussok. Trl."),
     ]
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "entry_id long, brand string, name string, family int")
     got = {tuple(r) for r in same_maker_pairs(df).collect()}
-    assert got == set(itertools.combinations([1, 2, 3, 4], 2)) | set(itertools.combinations([11, 12, 13], 2))
+    assert got == set(itertools.combinations([1, 2, 3, 4], 2)) | set(itertools.combinations([11, 12, 13], 2)) | {(21, 22)}
     assert same_maker_pairs(df.limit(0)).collect() == []
 
 

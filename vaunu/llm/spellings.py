@@ -2,11 +2,11 @@
 
 A typed name is read as a first name (nicknames and initials known), a trade, a legal form, and the
 family name of one or two parts. Family names form a metric space: the distance of two is the sum of
-the Levenshtein distances of their parts, in the better order. Radius joins run in cells: the pivots
-are the parts that occur, and a name lies in the cells of its own parts. Two names within radius 2 or
-3 have a pair of parts at distance 1 or less, so by the triangle inequality it is enough to replicate
-each name to the pivots within 1 of its parts; the pivots near each other are found through their
-deletions. In a cell only distinct spellings meet, whose number a ball of that radius bounds, however
+the Damerau-Levenshtein distances of their parts (unrestricted, which is a metric; a swap of neighbours
+is one edit), in the better order. Radius joins run in cells: the pivots are the parts that occur, and
+a name lies in the cells of its own parts. Two names within radius 2 or 3 have a pair of parts at
+distance 1 or less, so by the triangle inequality it is enough to replicate each name to the pivots
+within 1 of its parts; the pivots near each other are found through their deletions. In a cell only distinct spellings meet, whose number a ball of that radius bounds, however
 many rows they have; a tree by distance finds the exact neighbours there.
 
 Names linked this way form families; in a family, the first names and trades tell the makers apart.
@@ -49,6 +49,11 @@ def plain(text: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", fold(text).casefold()) if not unicodedata.combining(c))
 
 
+def _vowels(word: str) -> str:
+    """``ae``, ``oe`` and ``ue`` count as the accented vowel they may stand for."""
+    return re.sub("(?<=[aou])e", "", word)
+
+
 def _trade_at(words: list[tuple[str, bool]], i: int) -> tuple[str, int] | None:
     """The trade that begins at word ``i`` and how many words it takes; a word with a point may be cut short."""
     for trade, short in TRADES.items():
@@ -89,7 +94,7 @@ def read(text: str) -> tuple[str, str, str, str] | None:
             first = FULL_OF.get(word, word)
             del words[i]
             break
-    parts = [w + "." * d for w, d in words if not (len(words) > 2 and len(w) == 1)]
+    parts = [_vowels(w) + "." * d for w, d in words if not (len(words) > 2 and len(w) == 1)]
     if parts and all(p.endswith(".") for p in parts):
         parts = [p.rstrip(".") for p in parts]
     if not any(len(p) > 1 for p in parts):
@@ -101,19 +106,28 @@ def read(text: str) -> tuple[str, str, str, str] | None:
 
 
 def edits(a: str, b: str, most: int) -> int:
-    """Levenshtein distance, ``most + 1`` if it is above ``most``."""
+    """Unrestricted Damerau-Levenshtein distance, ``most + 1`` if it is above ``most``."""
     if a == b:
         return 0
-    if abs(len(a) - len(b)) > most:
+    n, m = len(a), len(b)
+    if abs(n - m) > most:
         return most + 1
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        diagonal, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            diagonal, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, diagonal + (x != y))
-        if min(row) > most:
-            return most + 1
-    return min(row[-1], most + 1)
+    far = n + m
+    rows = [[far] * (m + 2), [far, *range(m + 1)]]
+    seen: dict[str, int] = {}
+    for i in range(1, n + 1):
+        x, last, above, row = a[i - 1], 0, rows[i], [far, i]
+        for j in range(1, m + 1):
+            k, at = seen.get(b[j - 1], 0), last
+            if x == b[j - 1]:
+                cost, last = above[j], j
+            else:
+                cost = above[j] + 1
+            swap = rows[k][at] + (i - k - 1) + 1 + (j - at - 1)
+            row.append(min(cost, above[j + 1] + 1, row[j] + 1, swap))
+        seen[x] = i
+        rows.append(row)
+    return min(rows[-1][-1], most + 1)
 
 
 def _part(a: str, b: str, most: int) -> int:
@@ -147,26 +161,26 @@ def near(names: list[tuple[str, str]]) -> list[tuple[int, int, int]]:
     """All pairs ``i, j, distance`` of a cell within the radius: exact, by a tree of distances.
 
     A node's children are kept by their distance to it; the triangle inequality rules out those whose
-    distance differs from the searched name's by more than the radius. Names that were cut short have
-    no true distance, so they are compared one by one.
+    distance differs from the searched name's by more than the radius. Names that were cut short or are
+    written as one word have no true distance to the others, so they are compared one by one; two that
+    were cut short only count if nothing contradicts.
     """
-    out, whole = [], [i for i, n in enumerate(names) if not _cut(n)]
-    far = 40
+    out, whole = [], [i for i, n in enumerate(names) if n[1] and not _cut(n)]
+    far = 60
     if len(whole) <= 24:
         for k, i in enumerate(whole):
             out += [(i, j, d) for j in whole[:k] if (d := distance(names[i], names[j])) <= RADIUS]
     else:
         children: dict[int, dict[int, int]] = {whole[0]: {}}
         for i in whole[1:]:
-            todo, place = [whole[0]], None
             at = whole[0]
             while True:
                 d = distance(names[i], names[at], far)
                 below = children[at].get(d)
                 if below is None:
-                    place = (at, d)
                     break
                 at = below
+            place, todo = (at, d), [whole[0]]
             while todo:
                 at = todo.pop()
                 d = distance(names[i], names[at], far)
@@ -175,9 +189,13 @@ def near(names: list[tuple[str, str]]) -> list[tuple[int, int, int]]:
                 todo += [c for e, c in children[at].items() if abs(e - d) <= RADIUS]
             children[place[0]][place[1]] = i
             children[i] = {}
-    for i, name in enumerate(names):
-        if _cut(name):
-            out += [(i, j, d) for j in whole if (d := distance(name, names[j])) <= RADIUS]
+    joined = [i for i, n in enumerate(names) if not n[1] and not _cut(n)]
+    for k, i in enumerate(joined):
+        out += [(i, j, d) for j in [*whole, *joined[:k]] if (d := distance(names[i], names[j])) <= RADIUS]
+    cut = [i for i, n in enumerate(names) if _cut(n)]
+    for k, i in enumerate(cut):
+        out += [(i, j, d) for j in [*whole, *joined] if (d := distance(names[i], names[j])) <= RADIUS]
+        out += [(i, j, 0) for j in cut[:k] if distance(names[i], names[j], 0) == 0]
     return out
 
 
@@ -187,7 +205,7 @@ def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     def links() -> list[tuple]:
         names = [(a, b) for _, a, b, _ in cell]
-        return [(cell[i][0], cell[j][0], d, cell[j][3], _cut(names[i])) for i, j, d in near(names)] if len(cell) > 1 else []
+        return [(cell[i][0], cell[j][0], d, cell[j][3], _cut(names[i]), _cut(names[j])) for i, j, d in near(names)] if len(cell) > 1 else []
 
     for batch in batches:
         out: list[tuple] = []
@@ -196,8 +214,8 @@ def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 out += links()
                 pivot, cell = p, []
             cell.append((name, a, b, n))
-        yield pd.DataFrame(out, columns=["x", "y", "d", "y_rows", "x_cut"])
-    yield pd.DataFrame(links(), columns=["x", "y", "d", "y_rows", "x_cut"])
+        yield pd.DataFrame(out, columns=["x", "y", "d", "y_rows", "x_cut", "y_cut"])
+    yield pd.DataFrame(links(), columns=["x", "y", "d", "y_rows", "x_cut", "y_cut"])
 
 
 def _pivots(names: DataFrame) -> DataFrame:
@@ -229,13 +247,23 @@ def _pivots(names: DataFrame) -> DataFrame:
         ).alias("key"),
     )
     other = keys.withColumnRenamed("part", "pivot")
-    close = keys.join(other, "key").where(F.levenshtein("part", "pivot", 1) >= 0).select("part", "pivot").distinct()
-    return parts.unionByName(split).join(close, "part").select("pivot", "name").distinct()
+    close = keys.join(other, "key").where(F.levenshtein("part", "pivot", 2) >= 0).select("part", "pivot").distinct()
+    placed = parts.unionByName(split).join(close, "part").select("pivot", "name").distinct()
+    # two names cut short in different parts share no whole part: these alone also meet by how their parts begin
+    begin = [F.concat(F.lit("begin "), F.substring(F.replace(p, F.lit("."), F.lit("")), 1, 3)) for p in ("a", "b")]
+    cut = names.where("endswith(a, '.') or endswith(b, '.')").select(F.explode(F.array_distinct(F.array(*begin))).alias("pivot"), "name")
+    return placed.unionByName(cut)
 
 
 def _families(names: DataFrame, links: DataFrame) -> DataFrame:
-    """``name, family``: the smallest name that links lead to. Names that were cut short join the nearest only."""
-    firm = links.where("not x_cut").select("x", "y")
+    """``name, family``: the smallest name that links lead to.
+
+    Names that were cut short join their nearest whole name only; those without any join each other.
+    """
+    best = links.where("x_cut and not y_cut").groupBy("x").agg(F.min(F.struct("d", -F.col("y_rows"), "y"))["y"].alias("y"))
+    best = materialize(best)
+    stranded = links.where("x_cut and y_cut").select("x", "y").join(best.select("x"), "x", "left_anti").join(best.select(F.col("x").alias("y")), "y", "left_anti")
+    firm = links.where("not x_cut").select("x", "y").unionByName(stranded.select("x", "y"))
     edges = materialize(firm.unionByName(firm.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
     labels = materialize(names.select("name", F.col("name").alias("family")))
     while True:
@@ -246,7 +274,6 @@ def _families(names: DataFrame, links: DataFrame) -> DataFrame:
             break
         up = hooked.select(F.col("name").alias("up"), F.col("new").alias("above"))
         labels = materialize(hooked.join(up, F.col("new") == F.col("up")).select("name", F.col("above").alias("family")))
-    best = links.where("x_cut").groupBy("x").agg(F.min(F.struct("d", -F.col("y_rows"), "y"))["y"].alias("y"))
     leaves = best.join(labels.withColumnRenamed("name", "y"), "y").select("x", F.col("family").alias("joined"))
     return labels.join(leaves, labels.name == leaves.x, "left").select("name", F.coalesce("joined", "family").alias("family"))
 
@@ -304,7 +331,7 @@ def makers(entries: DataFrame, row: str = "entry_id", text: str = "brand") -> Da
     names = materialize(read_rows.groupBy("name", "a", "b").agg(F.count(F.lit(1)).alias("n")))
     shape = names.sparkSession.conf.get("spark.sql.shuffle.partitions")
     cells = _pivots(names).join(names, "name").repartition(int(shape), "pivot").sortWithinPartitions("pivot", "name")
-    links = cells.select("pivot", "name", "a", "b", "n").mapInPandas(_cells, "x string, y string, d int, y_rows long, x_cut boolean")
+    links = cells.select("pivot", "name", "a", "b", "n").mapInPandas(_cells, "x string, y string, d int, y_rows long, x_cut boolean, y_cut boolean")
     families = materialize(_families(names.select("name"), materialize(links.distinct())))
     placed = read_rows.join(families, "name").select("row", "family", "first", "trade")
     kinds = placed.groupBy("family", "first", "trade").agg(F.count(F.lit(1)).alias("n"))

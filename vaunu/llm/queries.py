@@ -116,7 +116,32 @@ QUERIES = {
     "p10_surrogates": p10_surrogates,
 }
 
+_EXACT = (
+    "brand, years, powertrain, vehicle_type, vehicle_class, vehicle_group, body_type, seats, fuel_consumption, electric_consumption, co2, mass, road_mass, technical_mass, "
+    "curb_mass, tax_mass, mass_source, tax_measurement, tax_power_source, service_cost, service_interval_km, service_interval_months, consumption_source, service_source, "
+    "registered_count, type_approval, variant_code, version_code"
+)
+
+
+def _parts_sql(x: str) -> str:
+    pattern = r"[0-9]+(?:[.,][0-9]+)*|[^0-9\s\x{85}\p{Z}\p{P}$+<=>^`|~]+"
+    return f"[replace(q, ',', '.') FOR q IN regexp_extract_all(lower(upper({x})), '{pattern}')]"
+
+
+def _joined_sql(parts: str) -> str:
+    return f"regexp_replace(regexp_replace(array_to_string({parts}, ' '), '([^0-9 ]) ', '\\1', 'g'), ' ([^0-9 ])', '\\1', 'g')"
+
+
 SQL = {
+    "p5_found": f"""
+        WITH p AS (SELECT *, {_parts_sql('model')} AS pm, {_parts_sql('variant')} AS pv FROM vehicle_items),
+        k AS (SELECT *, array_to_string(list_sort(pm), ' ') AS cm, {_joined_sql('pm')} AS jm, array_to_string(list_sort(pv), ' ') AS cv, {_joined_sql('pv')} AS jv FROM p),
+        fm AS (SELECT jm, arg_max(cm, {{'a': length(cm), 'b': cm}}) AS fine FROM k WHERE model IS NOT NULL GROUP BY jm),
+        fv AS (SELECT jv, arg_max(cv, {{'a': length(cv), 'b': cv}}) AS fine FROM k WHERE variant IS NOT NULL GROUP BY jv),
+        g AS (SELECT k.item_no, min(k.item_no) OVER (PARTITION BY CASE WHEN model IS NULL THEN NULL ELSE fm.fine END, model IS NULL,
+                CASE WHEN variant IS NULL THEN NULL ELSE fv.fine END, variant IS NULL, {_EXACT}) AS first_no
+              FROM k LEFT JOIN fm ON k.jm = fm.jm LEFT JOIN fv ON k.jv = fv.jv)
+        SELECT first_no, item_no AS copy_no FROM g WHERE first_no <> item_no""",
     "p7_found": """
         WITH v AS (SELECT *, len(list_distinct([r.id FOR r IN source_records IF r.id IS NOT NULL])) AS n_ids FROM vehicle_items
                    WHERE id IS NOT NULL)

@@ -108,7 +108,8 @@ def mix(sized: DataFrame, targets: DataFrame, total: float | None = None, shards
     order = F.xxhash64("doc_id", "repeat", F.lit(seed + 1))
     whole = taken.where("most is null").drop("most")
     running = F.sum("n_tokens").over(Window.partitionBy("source", "repeat").orderBy(order, "doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    cut = taken.where("most is not null").withColumn("running", running).where("running <= most").drop("most", "running")
+    edge = taken.where("most is not null").withColumn("running", running)
+    cut = edge.where("running - n_tokens / 2 <= most").drop("most", "running")  # the record on the edge if half of it fits
     position = F.row_number().over(Window.partitionBy("shard").orderBy(order, "doc_id"))
     return whole.unionByName(cut).withColumn("position", position)
 

@@ -130,6 +130,14 @@ def edits(a: str, b: str, most: int) -> int:
     return min(rows[-1][-1], most + 1)
 
 
+def letters(text: str) -> int:
+    """The set of letters in a text, a bit for each of 64 classes."""
+    bits = 0
+    for ch in text:
+        bits |= 1 << (ord(ch) & 63)
+    return bits
+
+
 def _part(a: str, b: str, most: int) -> int:
     """Distance of two parts; one that was cut short is compared with as much of the other."""
     if a.endswith(".") and not b.endswith("."):
@@ -166,10 +174,14 @@ def near(names: list[tuple[str, str]]) -> list[tuple[int, int, int]]:
     were cut short only count if nothing contradicts.
     """
     out, whole = [], [i for i, n in enumerate(names) if n[1] and not _cut(n)]
-    far = 60
+    far, sets = 60, [letters(a + b) for a, b in names]
+
+    def alike(i: int, j: int) -> bool:
+        return (sets[i] ^ sets[j]).bit_count() <= 2 * RADIUS  # an edit puts at most one letter out and one in
+
     if len(whole) <= 24:
         for k, i in enumerate(whole):
-            out += [(i, j, d) for j in whole[:k] if (d := distance(names[i], names[j])) <= RADIUS]
+            out += [(i, j, d) for j in whole[:k] if alike(i, j) and (d := distance(names[i], names[j])) <= RADIUS]
     else:
         children: dict[int, dict[int, int]] = {whole[0]: {}}
         for i in whole[1:]:
@@ -191,7 +203,7 @@ def near(names: list[tuple[str, str]]) -> list[tuple[int, int, int]]:
             children[i] = {}
     joined = [i for i, n in enumerate(names) if not n[1] and not _cut(n)]
     for k, i in enumerate(joined):
-        out += [(i, j, d) for j in [*whole, *joined[:k]] if (d := distance(names[i], names[j])) <= RADIUS]
+        out += [(i, j, d) for j in [*whole, *joined[:k]] if alike(i, j) and (d := distance(names[i], names[j])) <= RADIUS]
     cut = [i for i, n in enumerate(names) if _cut(n)]
     for k, i in enumerate(cut):
         out += [(i, j, d) for j in [*whole, *joined] if (d := distance(names[i], names[j])) <= RADIUS]
@@ -247,7 +259,7 @@ def _pivots(names: DataFrame) -> DataFrame:
         ).alias("key"),
     )
     other = keys.withColumnRenamed("part", "pivot")
-    close = keys.join(other, "key").where(F.levenshtein("part", "pivot", 2) >= 0).select("part", "pivot").distinct()
+    close = keys.join(other, "key").where((F.levenshtein("part", "pivot", 1) >= 0) | (F.array_sort(F.split("part", "")) == F.array_sort(F.split("pivot", "")))).select("part", "pivot").distinct()
     placed = parts.unionByName(split).join(close, "part").select("pivot", "name").distinct()
     # two names cut short in different parts share no whole part: these alone also meet by how their parts begin
     begin = [F.concat(F.lit("begin "), F.substring(F.replace(p, F.lit("."), F.lit("")), 1, 3)) for p in ("a", "b")]

@@ -53,3 +53,17 @@ def test_tables(spark):
     out = {r.doc_id: r.text for r in redacted(df).collect()}
     assert out[2] is None and out[3] == "" and out[5] == CLEAN * 200 and out[1] == out[4] != TEXT
     assert found_pieces(df.limit(0)).collect() == []
+
+
+def test_frequent_family_names(spark):
+    """Neither reposts nor a clerk who signs everything make a family name common; words used elsewhere are, but not after a cue."""
+    texts = ["Osanumero puuttuu, soittakaa Pekka Nystörtmann tai NYSTÖRTMANN, HARRIET."] * 20
+    texts += [f"Vertasin autoon Marin {i}. Mr P. Quistlund, ja A. Quistlund allekirjoitti. Virtaharju Otso: {i}" for i in range(20)]
+    texts += [f"Hinta {i}. Soita Anna Vertasin autoon. Tervehdys {name}, Näin Eva Marin" for i, name in enumerate(["Aino", "Helmi", "Lars", "Otso", "Nils", "Ute"])]
+    texts += ["Terveisin Eva Marin", None, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {(r.doc_id, r.found) for r in found_pieces(df).collect()}
+    want = {(i, n) for i in range(20) for n in ("Pekka Nystörtmann", "NYSTÖRTMANN, HARRIET")}
+    want |= {(i, n) for i in range(20, 40) for n in ("P. Quistlund", "A. Quistlund", "Virtaharju Otso")} | {(46, "Eva Marin")}
+    assert got == want
+    assert "Nystörtmann" not in redacted(df).where("doc_id = 3").collect()[0].text

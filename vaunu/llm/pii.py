@@ -2,8 +2,9 @@
 
 Patterns find emails (plain or disguised), identity numbers (dates and check digits verified), phone
 numbers, street addresses and names; later kinds only look where earlier ones found nothing. A name
-is a given name beside a family name, or an initial before one; words that many documents begin a
-sentence with, counted over the whole corpus, are no family names.
+is a given name beside a family name, or an initial before one. Capitalised words that many distinct
+texts use elsewhere than in such a place, and mostly elsewhere, are no family names, unless a cue
+(``Terveisin``, ``Mr``) stands before the name; how often a name is repeated never counts against it.
 
 Replacement is by typed placeholders that number the entities of a document, or by surrogates: keyed
 values of the same type, script, letter case and format, for a given name of the same gender. The
@@ -20,7 +21,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaunu.session import spread
@@ -77,6 +78,7 @@ AFTER = re.compile(rf" (?:[{UP}]\. )?({FAMILY})(?![\w@])")
 LEFT = re.compile(rf"(?<![\w@.-])({FAMILY})(,?) $")
 INITIAL = re.compile(rf"(?<![\w@.-])[{UP}]\. ?({FAMILY})(?![\w@])")
 CUED = re.compile(rf"(?<!\w)(?:{CUES}) ({FAMILY}),? ({FAMILY})(?![\w@])")
+CUE = re.compile(rf"(?<!\w)(?:{CUES}) $")
 CAPITAL = re.compile(rf"(?<![\w-])[{UP}][\w]+(?:-[{UP}]\w+)?")
 
 
@@ -131,27 +133,30 @@ def find(text: str, common: frozenset[str] = frozenset()) -> list[tuple[int, int
     for m in ADDRESS.finditer(rest):
         take(m.start(), m.end(), "address")
 
-    def family(word: str) -> bool:
-        return len(word) >= 3 and word.capitalize() not in _GIVEN_SET and not (word in common or word in _BEFORE_SET)
+    def family(word: str, cued: bool = False) -> bool:
+        return len(word) >= 3 and word.capitalize() not in _GIVEN_SET and (cued or word not in common) and word not in _BEFORE_SET
+
+    def is_cued(start: int) -> bool:
+        return CUE.search(rest, max(0, start - 20), start) is not None
 
     for m in GIVEN.finditer(rest):
         if "\x00" in rest[m.start() : m.end()]:
             continue
         left = LEFT.search(rest, max(0, m.start() - 80), m.start())
         right = AFTER.match(rest, m.end())
-        if left and not (family(left[1]) and (left[1].isupper() == m[0].isupper())):
+        if left and not (family(left[1], left[2] != "" and is_cued(left.start())) and (left[1].isupper() == m[0].isupper())):
             left = None
-        if right and not (family(right[1]) and (right[1].isupper() == m[0].isupper())):
+        if right and not (family(right[1], is_cued(m.start())) and (right[1].isupper() == m[0].isupper())):
             right = None
         if left and (left[2] or not right):
             take(left.start(), m.end(), "name")
         elif right:
             take(m.start(), right.end(), "name")
     for m in INITIAL.finditer(rest):
-        if family(m[1]):
+        if family(m[1], is_cued(m.start())):
             take(m.start(), m.end(), "name")
     for m in CUED.finditer(rest):
-        if family(m[1]) and family(m[2]):
+        if family(m[1], True) and family(m[2], True):
             take(m.start(1), m.end(2), "name")
     return sorted(spans)
 
@@ -160,18 +165,67 @@ _GIVEN_SET = frozenset([*WOMEN, *MEN])
 _BEFORE_SET = frozenset([*BEFORE, *(w.upper() for w in BEFORE)])
 
 
-def common_words(docs: DataFrame, text: str = "text", share: float = 0.001, least: int = 5) -> frozenset[str]:
-    """Capitalised words that more than ``share`` of all documents, and at least ``least``, hold.
+#: Where a word stands as a family name, by the patterns of ``find``; ``bare`` is before a given name, where greetings stand too.
+_any_given = rf"(?:(?:{_given})(?:-(?:{_given}))?|(?:{_given.upper()})(?:-(?:{_given.upper()}))?)(?![\w@+])"
+# the look-ahead for a capital comes first, for speed alone
+_WORD = r"(?=\p{Lu})(?<![\w-])(\p{Lu}[\w\p{L}]+(?:-\p{Lu}[\w\p{L}]+)?)"
+NAME_USES = (
+    rf"(?=[{UP}])(?<![\w@.+-]){_any_given}(?= (?:[{UP}]\. )?({FAMILY})(?![\w@]))",
+    rf"(?=[{UP}])(?<![\w@.-])({FAMILY}), (?={_any_given})",
+    rf"(?=[{UP}])(?<![\w@.-])[{UP}]\. ?({FAMILY})(?![\w@])",
+    rf"(?<!\w)(?:{CUES}) ({FAMILY})(?![\w@])",
+    rf"(?<!\w)(?:{CUES}) (?:{FAMILY}),? ({FAMILY})(?![\w@])",
+)
+BARE_USES = rf"(?=[{UP}])(?<![\w@.-])({FAMILY}) (?={_any_given}(?! (?:[{UP}]\. )?(?:{FAMILY})(?![\w@])))"
+GIVEN_AFTER = rf"(?=[{UP}])(?<![\w@.-])(?:{FAMILY}) (?=({_any_given})(?! (?:[{UP}]\. )?(?:{FAMILY})(?![\w@])))"
+
 
-    At most the mean number of such words in a document, divided by ``share``, can qualify: a bound
-    that does not grow with the corpus.
+def word_uses(docs: DataFrame, text: str = "text", few: int = 3) -> DataFrame:
+    """``word, named, other``: in how many distinct texts a capitalised word stands as a family name, and in how many elsewhere.
+
+    A text that has the word in both ways counts for both. Before a given name alone (``bare``) a word
+    counts as a family name if it stands so before ``few`` given names at most, else as a greeting.
     """
-    words = docs.where(F.col(text).isNotNull()).select(
-        F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?<![\w\-])[\p{Lu}][\w\p{L}]+(?:-[\p{Lu}][\w\p{L}]+)?"), F.lit(0)))).alias("word")
+
+    def all_of(pattern: str) -> Column:
+        return F.regexp_extract_all(F.col(text), F.lit("(?U)" + pattern), F.lit(1))
+
+    def as_uses(words: Column, named: int, bare: int) -> Column:
+        return F.transform(words, lambda w: F.struct(w.alias("word"), F.lit(named).alias("named"), F.lit(bare).alias("bare"), F.lit(None).cast("string").alias("given")))
+
+    bare = F.zip_with(
+        all_of(BARE_USES), all_of(GIVEN_AFTER),
+        lambda w, g: F.struct(w.alias("word"), F.lit(0).alias("named"), F.lit(1).alias("bare"), F.substring_index(F.upper(g), "-", 1).alias("given")),
+    )
+    texts = docs.where(F.col(text) != "").select(text).distinct().withColumn("no", F.monotonically_increasing_id())
+    named = F.concat(*[all_of(p) for p in NAME_USES])
+    uses = texts.select("no", F.explode(F.concat(as_uses(all_of(_WORD), 0, 0), as_uses(named, 1, 0), bare)).alias("u")).select("no", "u.*")
+    # one row a word and text; every use is among the uses of _WORD too
+    by_text = uses.groupBy("no", "word").agg(
+        F.sum("named").alias("named"), F.sum("bare").alias("bare"), F.sum(F.when((F.col("named") == 0) & (F.col("bare") == 0), 1).otherwise(0)).alias("uses"), F.max("given").alias("given")
+    )
+    by_word = by_text.groupBy("word").agg(
+        F.count_if(F.expr("named > 0")).alias("sure"),
+        F.count_if(F.expr("bare > 0 and named = 0")).alias("bare"),
+        F.count_if(F.col("uses") > F.col("named") + F.col("bare")).alias("rest"),
+        F.size(F.collect_set("given")).alias("givens"),
     )
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    n_docs = docs.agg(F.count(F.lit(1)).alias("all_docs"))
-    kept = counts.join(F.broadcast(n_docs), (F.col("n") > share * F.col("all_docs")) & (F.col("n") >= least))
+    is_name = F.col("givens") <= few
+    return by_word.select(
+        "word", (F.col("sure") + F.when(is_name, F.col("bare")).otherwise(0)).alias("named"), (F.col("rest") + F.when(is_name, 0).otherwise(F.col("bare"))).alias("other")
+    )
+
+
+def common_words(docs: DataFrame, text: str = "text", share: float = 0.001, least: int = 5) -> frozenset[str]:
+    """Capitalised words that are no family names: by :func:`word_uses` more than ``share`` of all
+    distinct texts, and at least ``least``, use them elsewhere, and fewer as a family name.
+
+    At most the mean number of such words in a text, divided by ``share``, can qualify: a bound that
+    does not grow with the corpus.
+    """
+    n_texts = docs.where(F.col(text) != "").agg(F.count_distinct(F.xxhash64(text)).alias("n_texts"))
+    common = (F.col("other") > share * F.col("n_texts")) & (F.col("other") >= least) & (F.col("other") > F.col("named"))
+    kept = word_uses(docs, text).join(F.broadcast(n_texts), common)
     given = {*_GIVEN_SET, *(w.upper() for w in _GIVEN_SET)}
     return frozenset(r.word for r in kept.select("word").collect() if r.word not in given)
 

@@ -45,3 +45,26 @@ def test_hot_record(spark):
     items = [item(i) for i in range(1, 3000)] + [item(5000, va="AB12CE", ve="XY34ZX11", co2=190, mass=1900, kw=140)]
     got = run(spark, items, [cand(9001, va="AB12CE", ve=None, co2=190.0, mass=1900.0, kw=140.0), cand(9002)])
     assert got == {9001: 5000, 9002: 1} and F is not None
+
+
+def test_hot_codes_of_different_rows(spark):
+    """One variant code in all rows, far more than a window; other attributes tell the rows apart."""
+    n = 600
+    items = [item(i, f"{100000 + i % 7}", "HOT123", f"R{i * 7919 % 100003:06d}", 100 + i % 90, 1200 + i * 37 % 900, 60 + i * 13 % 120) for i in range(1, n + 1)]
+    exact = [cand(10_000 + i, f"{100000 + i % 7}", "HOT123", f"R{i * 7919 % 100003:06d}", 101.0 + i % 90, 1210.0 + i * 37 % 900, 60.0 + i * 13 % 120) for i in range(1, n, 5)]
+    left, right = item_features(spark.createDataFrame(items, ITEMS)), candidate_features(spark.createDataFrame(exact, CANDS))
+    # without version code, approval and maker, the variant code and figures have to do
+    bare = [cand(c[0] + 5000, None, "HOT123", None, *c[7:10], mk=None) for c in exact]
+    assert {r.cand_id: r.item_no for r in match(left, right).collect()} == {c[0]: c[0] - 10_000 for c in exact}
+    got = {(r.left_id, r.right_id) for r in neighbours(left, candidate_features(spark.createDataFrame(bare, CANDS))).collect()}
+    assert {(c[0] - 15_000, c[0]) for c in bare} <= got
+
+
+def test_hot_approval_and_maker(spark):
+    """One approval, maker and power with many rows a kilogram; only co2 and mass are known besides."""
+    items = [item(i, "111111", None, f"R{i * 7919 % 100003:06d}", 100 + i % 97, 1500 + i % 30) for i in range(1, 1501)]
+    cands = [cand(10_000 + i, "111111", None, None, 100.0 + i % 97, 1515.0 + i % 30, 100.0) for i in range(1, 1500, 11)]
+    cands += [cand(20_000 + i, None, None, None, 102.0 + i % 97, 1519.0 + i % 30, 100.0) for i in range(1, 1500, 11)]
+    left, right = item_features(spark.createDataFrame(items, ITEMS)), candidate_features(spark.createDataFrame(cands, CANDS))
+    got = {(r.left_id, r.right_id) for r in neighbours(left.select("id", *FEATURES), right.select("id", *FEATURES)).collect()}
+    assert {(c[0] % 10_000, c[0]) for c in cands} <= got

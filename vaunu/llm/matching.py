@@ -4,7 +4,9 @@ Sorted neighbourhood over several composite keys: both codes as written and reve
 with mass, and maker with power and mass. Rows of all keys are range-partitioned and sorted together;
 records at most ``WINDOW`` rows apart that share the key's block become candidate pairs. Pairs at
 partition edges are added from the edge rows. Equal records are collapsed before, so a hot record
-can't fill a window. A pair's score is the sum of weights of evidence over the attributes that both
+can't fill a window. Equal keys are sorted by mass or co2; where more rows than a window reaches share
+a code, or an approval or a maker and power within a band of mass, exact joins on that and each
+further attribute add the pairs the window misses. A pair's score is the sum of weights of evidence over the attributes that both
 have, its confidence the logistic of that.
 
 Assignment: a record of the left source may take several of the right one, a right record at most one
@@ -24,6 +26,8 @@ from pyspark.sql import functions as F
 from vaunu.session import materialize
 
 WINDOW = 12
+#: Width of a band of mass in a hot run: masses of one version differ by at most this.
+BAND = 20
 #: Least score of a match; the evidence of one exact code and one agreeing figure is above it.
 LEAST = 6.0
 FEATURES = ["va", "ve", "serial", "ext", "maker", "name", "fuel", "co2", "mass", "power"]
@@ -95,7 +99,8 @@ def _keys() -> Column:
     mass = F.lpad(F.col("mass").cast("int").cast("string"), 6, "0")
 
     def entry(kind: int, block: Column, key: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), block.alias("block"), key.alias("key"))
+        tie = F.col("mass" if kind < 5 else "co2").cast("int")
+        return F.struct(F.lit(kind).alias("kind"), block.alias("block"), key.alias("key"), tie.alias("tie"))
 
     def coded(kind: int, text: Column) -> Column:
         return entry(kind, F.substring(text, 1, 4), text)
@@ -165,12 +170,12 @@ def _edge(rows: list[tuple[int, int]], ids: np.ndarray, right: np.ndarray, block
 
 
 def neighbours(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct ``left_id, right_id`` of records near each other under any key."""
+    """Distinct ``left_id, right_id`` of records near each other under any key, or in a hot run (:func:`hot_pairs`)."""
     both = left.withColumn("right", F.lit(False)).unionByName(right.withColumn("right", F.lit(True)))
     entries = both.select("id", "right", F.explode(_keys()).alias("e")).select("id", "right", "e.*")
     ordered = (
-        entries.repartitionByRange("kind", "key", "id")
-        .sortWithinPartitions("kind", "key", "id")
+        entries.repartitionByRange("kind", "key", "tie", "id")
+        .sortWithinPartitions("kind", "key", "tie", "id")
         .select(F.xxhash64("kind", "block").alias("block"), "id", "right")
     )
     scanned = materialize(ordered.mapInArrow(_window, "left_id long, right_id long, part long, place long, block long"))
@@ -187,7 +192,63 @@ def neighbours(left: DataFrame, right: DataFrame) -> DataFrame:
         .where((F.col("h") - F.col("t") - 1 <= WINDOW) & (F.col("l1").isNull() != F.col("l2").isNull()))
         .select(F.coalesce("l1", "l2").alias("left_id"), F.coalesce("r1", "r2").alias("right_id"))
     )
-    return inner.unionByName(across).distinct()
+    return inner.unionByName(across).unionByName(hot_pairs(left, right)).distinct()
+
+
+def _cells() -> Column:
+    """``kind, run, band`` of each run a record is in: a code, or a block of keys 5 and 6 with a band of mass."""
+
+    def cell(kind: int, run: Column, band: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.when(run.isNotNull(), F.xxhash64(F.lit(kind), run)).alias("run"), band.cast("int").alias("band"))
+
+    band = F.floor(F.col("mass") / BAND)
+    by_power = F.transform(F.array_distinct(F.array(F.floor("power"), F.ceil("power"))), lambda p: cell(6, F.concat(F.substring("maker", 1, 4), F.lit("|"), p.cast("string")), band))
+    cells = F.concat(F.array(cell(1, F.col("va"), F.lit(0)), cell(3, F.col("ve"), F.lit(0)), cell(5, F.col("serial"), band)), by_power)
+    return F.filter(cells, lambda c: c["run"].isNotNull() & c["band"].isNotNull())
+
+
+def _composites(right: bool) -> Column:
+    """Hashes of a hot run with each further attribute. Figures are cut into bands; a right record takes the bands next to its own too."""
+
+    def bands(name: str, width: int, reach: int) -> Column:
+        own = F.floor(F.col(name) / width).cast("int")
+        return F.when(own.isNull(), F.array().cast("array<int>")).otherwise(F.array(*[own + d for d in (range(-reach, reach + 1) if right else (0,))]))
+
+    def text(name: str) -> Column:
+        return F.when(F.col(name).isNull(), F.array().cast("array<string>")).otherwise(F.array(F.col(name)))
+
+    def crossed(kind: int, a: Column, b: Column, unless: int = 0) -> Column:
+        keys = F.flatten(F.transform(a, lambda x: F.transform(b, lambda y: F.xxhash64(F.lit(kind), F.col("run"), x, y))))
+        return F.when(F.col("kind") == unless, F.array().cast("array<bigint>")).otherwise(keys)
+
+    mass, co2, power = bands("mass", BAND, 1), bands("co2", 4, 1), bands("power", 1, 2)
+    return F.concat(
+        crossed(1, mass, text("va"), 1), crossed(2, mass, text("ve"), 3), crossed(3, mass, text("serial"), 5), crossed(4, mass, co2),
+        crossed(5, mass, power, 6), crossed(6, mass, text("name")),
+        # without mass, where both codes agree
+        F.when(F.col("kind") == 1, F.concat(*[F.flatten(F.transform(text("ve"), lambda v: crossed(k, F.array(v), fig))) for k, fig in ((7, co2), (8, power))])).otherwise(F.array().cast("array<bigint>")),
+    )
+
+
+def hot_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``left_id, right_id`` (repeated) of records in one run longer than the window reaches that agree in a further attribute.
+
+    A run of equal codes is hot beyond ``WINDOW`` rows, a band of mass and those next to it beyond half
+    of that, as rows between two records may fill two bands.
+    """
+    both = left.select("id", _cells().alias("cells")).withColumn("right", F.lit(False)).unionByName(right.select("id", _cells().alias("cells")).withColumn("right", F.lit(True)))
+    cells = both.select("id", "right", F.explode("cells").alias("c")).select("id", "right", "c.*")
+    long = F.col("n") > F.when(F.col("kind") < 5, WINDOW + 1).otherwise(WINDOW // 2)
+    counts = cells.groupBy("kind", "run", "band").agg(F.count(F.lit(1)).alias("n"))
+    around = F.when(F.col("kind") < 5, F.array("band")).otherwise(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))
+    hot = materialize(counts.where(long).select("run", F.explode(around).alias("band")).distinct())
+    members = cells.join(hot, ["run", "band"], "left_semi").select("id", "right", "kind", "run").distinct()
+
+    def keyed(side: DataFrame, is_right: bool) -> DataFrame:
+        mine = members.where(F.col("right") == is_right).select("id", "kind", "run")
+        return mine.join(side, "id").select(F.col("id").alias("right_id" if is_right else "left_id"), F.explode(_composites(is_right)).alias("composite"))
+
+    return keyed(left, False).join(keyed(right, True), "composite").select("left_id", "right_id")
 
 
 def _codes(a: Column, b: Column) -> Column:

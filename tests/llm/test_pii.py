@@ -1,4 +1,5 @@
-from vaunu.llm.pii import entity, find, found_pieces, is_finnish, is_swedish, redacted, replace, surrogate
+from vaunu.llm.pii import GIVEN_NAMES, entity, find, found_pieces, is_finnish, is_swedish, pieces as piece_table, redacted, replace, surrogate
+from vaunu.llm.surrogates import clashes, name_word, number, permute
 
 TEXT = (
     "Asian hoiti Kaarlo Nystörtmann tiskillä. Mail: kaarlo.n (at) posti.example, puh. 070 - 1740683 / 66 Fernhill Rise; hetu 120389-944K\n"
@@ -48,11 +49,11 @@ def test_surrogates_keep_type_case_and_coreference():
 def test_tables(spark):
     rows = [(1, TEXT, "x"), (2, None, "x"), (3, "", "x"), (4, TEXT, "x"), (5, CLEAN * 200, "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, kind string")
-    got = {(r.doc_id, r.kind, r.found) for r in found_pieces(df).collect()}
+    got = {(r.doc_id, r.kind, r.found) for r in found_pieces(df, b"k").collect()}
     assert got == {(d, k, f) for d in (1, 4) for k, f in WANT}
     out = {r.doc_id: r.text for r in redacted(df).collect()}
     assert out[2] is None and out[3] == "" and out[5] == CLEAN * 200 and out[1] == out[4] != TEXT
-    assert found_pieces(df.limit(0)).collect() == []
+    assert found_pieces(df.limit(0), b"k").collect() == []
 
 
 def test_frequent_family_names(spark):
@@ -62,8 +63,52 @@ def test_frequent_family_names(spark):
     texts += [f"Hinta {i}. Soita Anna Vertasin autoon. Tervehdys {name}, Näin Eva Marin" for i, name in enumerate(["Aino", "Helmi", "Lars", "Otso", "Nils", "Ute"])]
     texts += ["Terveisin Eva Marin", None, ""]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    got = {(r.doc_id, r.found) for r in found_pieces(df).collect()}
+    got = {(r.doc_id, r.found) for r in found_pieces(df, b"k").collect()}
     want = {(i, n) for i in range(20) for n in ("Pekka Nystörtmann", "NYSTÖRTMANN, HARRIET")}
     want |= {(i, n) for i in range(20, 40) for n in ("P. Quistlund", "A. Quistlund", "Virtaharju Otso")} | {(46, "Eva Marin")}
     assert got == want
     assert "Nystörtmann" not in redacted(df).where("doc_id = 3").collect()[0].text
+
+
+def test_permutations():
+    assert sorted(permute(i, 1000, b"k", "x") for i in range(1000)) == list(range(1000))
+    assert len({number(f"{i:03d}", b"k", "x") for i in range(1000)}) == 1000 and number("0", b"k", "x").isdigit()
+    words = [a + b + c + d for a in "abcde" for b in "aeiou" for c in "klmnä" for d in "sté"] + [w for names in GIVEN_NAMES for w in names]
+    assert len({name_word(w, b"k", GIVEN_NAMES) for w in words}) == len(words)
+    women, men = GIVEN_NAMES
+    assert all(name_word(w, b"k", GIVEN_NAMES) in set(women) - {w} for w in women) and name_word("PEKKA", b"k", GIVEN_NAMES).lower() in men
+
+
+def test_identity_surrogates_are_valid():
+    for found in ("131052-308T", "120389-944K"):
+        new = surrogate("identity", found, b"k")
+        assert new != found and is_finnish(new[:6], new[7:10], new[10]) and int(new[9]) % 2 == int(found[9]) % 2
+    for found in ("640121-9909", "196401219909", "640121+9909"):
+        new = surrogate("identity", found, b"k")
+        assert new != found and is_swedish("".join(c for c in new if c.isdigit())[-10:-4], new[-4:])
+    assert surrogate("identity", "196401219909", b"k")[2:] == surrogate("identity", "640121-9909", b"k").replace("-", "")
+    assert surrogate("phone", "+358 70 1740683", b"k")[-7:] == surrogate("phone", "070 - 1740683", b"k")[-7:] != "1740683"
+    assert surrogate("address", "12 Oak Lane", b"k").endswith(" Lane") and "Oak" not in surrogate("address", "12 Oak Lane", b"k")
+    assert surrogate("address", "Kuusipellontie 7", b"k").split(" ")[0].endswith("tie")
+
+
+def test_names_in_no_list(spark):
+    """Names whose given name is in no list: from the text itself, or learned from other texts of the corpus."""
+    for text, want in [
+        ("Best regards,\nPriya Natarajan", "Priya Natarajan"), ("Ich heiße Zoltan Kovács und frage", "Zoltan Kovács"), ("Soita: Camille Dubois, puh. 040 1234567", "Camille Dubois"),
+        ("Dr. Ahmed Hassan tested it", "Ahmed Hassan"), ("Ask ahmed.hassan@posti.example or Ahmed Hassan", "Ahmed Hassan"),
+    ]:
+        assert ("name", want) in pieces(text), text
+    texts = [f"Regards, Priya {name}" for name in ("Natarajan", "Iyer", "Menon")] + ["Then Priya Raghavan came by", "The Gemlar Drersia is fine", "A Gemlar Drersia again"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.found) for r in found_pieces(df, b"k").collect()}
+    assert got == {(0, "Priya Natarajan"), (1, "Priya Iyer"), (2, "Priya Menon"), (3, "Priya Raghavan")}
+
+
+def test_one_surrogate_an_entity_and_none_for_two(spark):
+    families = [a + b + c for a in ("Kor", "Val", "Nim", "Häk") for b in ("pi", "ka", "so") for c in ("nen", "la", "berg")]
+    texts = [f"Regards, {g} {f}. Tel. 070 {i:03d}{j:02d}07" for i, f in enumerate(families) for j, g in enumerate(["Anna", "Eva", "Lars"])] + ["Asian hoiti Korpinen, Anna tiskillä"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = piece_table(df, b"k").cache()
+    assert clashes(found).isEmpty()
+    assert found.select("kind", "entity").distinct().count() == found.select("kind", "entity", "surrogate_entity").distinct().count() == 2 * 36 * 3

@@ -85,7 +85,12 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.found_pieces(table(spark, sf_dir, "documents"))
+    return pii.found_pieces(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
+def p10_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pieces(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+    return found.groupBy("kind", "entity", "surrogate_entity").agg(F.count_distinct("doc_id").alias("n_docs"))
 
 
 def p10_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,6 +117,7 @@ QUERIES = {
     "p9_mix": p9_mix,
     "p9_shares": p9_shares,
     "p10_found": p10_found,
+    "p10_entities": p10_entities,
     "p10_redacted": p10_redacted,
     "p10_surrogates": p10_surrogates,
 }

@@ -60,8 +60,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    winners = survivors.field_winners(table(spark, sf_dir, "vehicle_items"))
-    return winners.where("n_rows > 1").select("id", "co2_no", "count_no", "records_no")
+    return survivors.field_winners(table(spark, sf_dir, "vehicle_items")).select("id", "co2_no", "count_no", "records_no")
 
 
 def p7_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:

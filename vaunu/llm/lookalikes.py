@@ -31,22 +31,34 @@ GREEK = {
     "Y": "Υ", "Z": "Ζ", "a": "α", "i": "ι", "o": "ο", "p": "ρ", "u": "υ", "v": "ν", "ó": "ό", "ü": "ϋ", "Ï": "Ϊ",
 }
 ARMENIAN = {"O": "Օ", "S": "Տ", "U": "Ս", "L": "Լ", "h": "հ", "n": "ո", "o": "օ", "u": "ս", "q": "զ", "g": "ց"}
+LISU = {
+    "A": "ꓮ", "B": "ꓐ", "C": "ꓚ", "D": "ꓓ", "E": "ꓰ", "F": "ꓝ", "G": "ꓖ", "H": "ꓧ", "I": "ꓲ", "J": "ꓙ", "K": "ꓗ", "L": "ꓡ", "M": "ꓟ", "N": "ꓠ", "O": "ꓳ", "P": "ꓑ",
+    "R": "ꓣ", "S": "ꓢ", "T": "ꓔ", "U": "ꓴ", "V": "ꓦ", "W": "ꓪ", "X": "ꓫ", "Y": "ꓬ", "Z": "ꓜ",
+}
+CHEROKEE = {
+    "A": "Ꭺ", "B": "Ᏼ", "C": "Ꮯ", "D": "Ꭰ", "E": "Ꭼ", "G": "Ꮐ", "H": "Ꮋ", "J": "Ꭻ", "K": "Ꮶ", "L": "Ꮮ", "M": "Ꮇ", "P": "Ꮲ", "R": "Ꭱ", "S": "Ꮪ", "T": "Ꭲ", "V": "Ꮩ", "W": "Ꮃ",
+    "Y": "Ꭹ", "Z": "Ꮓ",
+}
+#: Small capitals count as a script of their own: ``ᴏ`` is drawn like ``o``.
+SMALL_CAPITAL = "LATIN LETTER SMALL CAPITAL "
+SMALL = {ch.lower(): unicodedata.lookup(SMALL_CAPITAL + ch) for ch in "ABCDEFGHIJKLMNOPQRSTUVWYZ"}
 #: Hyphens and spaces that a reader can't tell from the plain ones; invisible marks.
 HYPHENS = "\u2010\u2011\ufe63\uff0d\u1806\u2043"
 INVISIBLE = re.compile("[\xad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\u2066-\u2069\ufe00-\ufe0f\ufeff]")
 JOINERS = "\u200c\u200d"
-#: Anything but plain ASCII and precomposed Latin letters; only such values can be cases.
-SUSPECT = r"[^\x20-\x7e\x{c0}-\x{24f}]"
+#: Plain ASCII values are never changed, so only the others are looked at.
+NOT_ASCII = r"[^\x00-\x7f]"
 WORD = re.compile(r"[^\W\d_]+")
 
-LATIN_OF = {other: latin for table in (CYRILLIC, GREEK, ARMENIAN) for latin, others in table.items() for other in others}
+LATIN_OF = {other: latin for table in (CYRILLIC, GREEK, ARMENIAN, LISU, CHEROKEE, SMALL) for latin, others in table.items() for other in others}
 TO_SCRIPT = {"CYRILLIC": {k: v[0] for k, v in CYRILLIC.items()}, "GREEK": GREEK, "ARMENIAN": ARMENIAN}
 
 
 @lru_cache(1 << 16)
 def script(ch: str) -> str:
     """The script of a letter by its character name, ``''`` of marks and others."""
-    return unicodedata.name(ch, "").split(" ", 1)[0].split("-", 1)[0] if ch.isalpha() else ""
+    name = unicodedata.name(ch, "") if ch.isalpha() else ""
+    return "SMALL" if name.startswith(SMALL_CAPITAL) else name.split(" ", 1)[0].split("-", 1)[0]
 
 
 @lru_cache(1 << 16)
@@ -170,5 +182,5 @@ def disguised(df: DataFrame, row: str, fields: list[str], also: DataFrame | None
         F.col(row), F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields])).alias("cell")
     ).select(row, "cell.field", "cell.value")
     values = cells.where(F.col("value").isNotNull()).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-    changed = unify(values, also).where((F.col("value") != F.col("unified")) & F.col("value").rlike(SUSPECT))
-    return cells.where(F.col("value").rlike(SUSPECT)).join(changed, "value").select(row, "field", "value", "unified")
+    changed = unify(values, also).where(F.col("value") != F.col("unified"))
+    return cells.where(F.col("value").rlike(NOT_ASCII)).join(changed, "value").select(row, "field", "value", "unified")

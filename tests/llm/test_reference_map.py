@@ -33,7 +33,10 @@ def test_automaton_equals_brute_force():
 def test_cases():
     mapper = Mapper(REFS)
     for brand, model, want in CASES[:-2]:
-        assert mapper.map(brand, model) == want, (brand, model)
+        assert next((r for _, _, r in mapper.map(brand, model)), 0) == want, (brand, model)
+    # a long text is searched whole
+    assert mapper.map("Lulbria", "Sibrura 20" + " sedan" * 2000)[0] == (0, 0, 6) and mapper.map("Lulbria" + " oy" * 2000, "-" * 50_000 + "Sibrura")[0] == (0, 0, 5)
+    assert mapper.map("Lulbria", "Sibrur") == ((1, 0, 5),)
 
 
 def test_map_entries(spark):
@@ -41,5 +44,7 @@ def test_map_entries(spark):
     entries = spark.createDataFrame(rows, "entry_no long, brand string, model string, ref_id int")
     references = spark.createDataFrame([*REFS, (9, None, "x")], "ref_id long, brand string, model string")
     assert {r.entry_no: r.ref_id for r in map_entries(entries, references).collect()} == {i: w for i, (_, _, w) in enumerate(CASES)}
+    blocks = map_entries(entries, references, most=2)  # a list longer than may go out at once
+    assert {r.entry_no: r.ref_id for r in blocks.collect()} == {i: w for i, (_, _, w) in enumerate(CASES)}
     assert {r.ref_id for r in map_entries(entries, references.limit(0)).collect()} == {0}
     assert map_entries(entries.limit(0), references).collect() == []

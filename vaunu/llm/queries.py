@@ -59,6 +59,11 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reference_map.map_entries(table(spark, sf_dir, "admin_entries"), table(spark, sf_dir, "ref_models"))
 
 
+def p6_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = reference_map.matches(table(spark, sf_dir, "admin_entries"), table(spark, sf_dir, "ref_models"))
+    return found.select("entry_no", F.explode("found").alias("f")).select("entry_no", "f.ref_id", "f.edits", "f.turned")
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivors.field_winners(table(spark, sf_dir, "vehicle_items")).select("id", "co2_no", "count_no", "records_no")
 
@@ -110,6 +115,7 @@ QUERIES = {
     "p5_found": p5_found,
     "p5_collapsed": p5_collapsed,
     "p6_found": p6_found,
+    "p6_matches": p6_matches,
     "p7_found": p7_found,
     "p7_survivors": p7_survivors,
     "p8_ids": p8_ids,

@@ -4,11 +4,13 @@ The list's makers lie in a trie with alias paths (transliterated vowels, words i
 initial with last word), the models of each maker in tries of their own. A Levenshtein automaton, its
 states the rows of edit costs, walks a trie and returns all entries within a distance that depends on
 the length; neighbours swapped count as one edit. Figures must agree exactly. A text that ends in a
-point may also be the beginning of a path. Lines are mapped where they lie, without a shuffle.
+point may also be the beginning of a path. Lines are mapped where they lie, without a shuffle; a list
+longer than ``MOST_REFERENCES`` is searched in blocks of whole makers, of which the best result counts.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from vaunu.llm.lookalikes import fold, to_latin
 from vaunu.session import spread
 
-#: The list goes to every task; a longer one is refused.
+#: So much of the list goes to every task at once.
 MOST_REFERENCES = 100_000
 #: Words that say nothing of the maker, and of the model.
 LEGAL = {"oy", "oyj", "ab", "ag", "as", "inc", "ltd", "kft", "srl", "spa", "doo", "gmbh", "llc", "co", "corp", "sa", "bv", "nv"}
@@ -50,9 +52,14 @@ def figures(text: str) -> str:
     return re.sub(r"\D", "", text)
 
 
+MOST_EDITS = 3
+#: A text may be so much shorter than its words are by themselves.
+SLACK = 40
+
+
 def budget(length: int) -> int:
     """Edits allowed for a text of so many letters."""
-    return 0 if length <= 3 else 1 if length <= 5 else 2 if length <= 14 else 3
+    return 0 if length <= 3 else 1 if length <= 5 else 2 if length <= 14 else MOST_EDITS
 
 
 class Trie:
@@ -60,9 +67,10 @@ class Trie:
 
     def __init__(self) -> None:
         self.root: dict = {}
+        self.longest = 0
 
     def add(self, path: str, entry: int) -> None:
-        node = self.root
+        node, self.longest = self.root, max(self.longest, len(path))
         for ch in path:
             node = node.setdefault(ch, {})
         node.setdefault("", set()).add(entry)
@@ -90,6 +98,8 @@ class Trie:
         """
         out: dict[int, int] = {}
         n, far = len(text), most + 1
+        if n > self.longest + most:
+            return out
         first = [j if j <= most else far for j in range(n + 1)]
         todo = [(self.root, 0, "", first, first)]
         while todo:
@@ -171,20 +181,30 @@ class Mapper:
 
     def _find_models(self, maker: int, typed: str, text: str) -> dict[int, int]:
         """Models of a maker that a text may mean, with the distance."""
-        words = [w for w in text.split() if w]
-        cores = [words]
-        while len(cores[-1]) > 1 and plain(cores[-1][-1]) in BODY:
-            cores.append(cores[-1][:-1])
+        words = text.split()
+        end = len(words)
+        ends = [end]
+        while end > 1 and plain(words[end - 1]) in BODY:
+            end -= 1
+            ends.append(end)
+        # letters and figures before each word: what is longer than any path and its maker can't match
+        before = list(itertools.accumulate((len(plain(w)) for w in words), initial=0))
+        longest = self.model_tries[maker].longest + MOST_EDITS
+        heads = {h for h in (*self.prefixes[maker], plain(typed)) if len(h) > 1}
+        starts, letters = [], 0  # after a mistyped maker before the model
+        for i in range(1, len(words)):
+            letters += 0 if plain(words[i - 1]) in LEGAL else len(plain(words[i - 1]))
+            if letters > self.maker_trie.longest + MOST_EDITS:
+                break
+            if maker in self.find_makers(" ".join(words[:i])):
+                starts.append(i)
         out: dict[int, int] = {}
-        for extra, core in enumerate(cores):
-            keys = {plain(" ".join(core)): 0}
-            for head in {*self.prefixes[maker], plain(typed)}:
-                whole = plain(" ".join(core))
-                if head and len(head) > 1 and whole.startswith(head) and len(whole) > len(head):
-                    keys.setdefault(whole[len(head) :], 0)
-            for i in range(1, len(core)):  # a mistyped maker before the model
-                if maker in self.find_makers(" ".join(core[:i])):
-                    keys.setdefault(plain(" ".join(core[i:])), 0)
+        for end in ends:
+            keys: dict[str, int] = {}
+            if before[end] <= longest + max(map(len, heads), default=0) + SLACK:
+                whole = plain(" ".join(words[:end]))
+                keys = {whole: 0} | {whole[len(h) :]: 0 for h in heads if whole.startswith(h) and len(whole) > len(h)}
+            keys |= {plain(" ".join(words[i:end])): 0 for i in starts if i < end and before[end] - before[i] <= longest + SLACK}
             for key in keys:
                 letters = len(key) - len(figures(key))
                 for ref_id, distance in self.model_tries[maker].search(key, budget(letters)).items():
@@ -194,18 +214,17 @@ class Mapper:
                 break
         return out
 
-    def _map(self, brand: str, model: str) -> int:
-        """The entry meant, 0 if none. Fewest edits win, then columns as named, then the smallest id."""
-        best = None
+    def _map(self, brand: str, model: str) -> tuple[tuple[int, int, int], ...]:
+        """``edits, turned, ref_id`` of all entries within distance, the best first; columns as named unless those give an exact match."""
+        best: dict[int, tuple[int, int, int]] = {}
         for turned, (maker_text, model_text) in enumerate(((brand, model), (model, brand))):
-            if best is not None and best[0] == 0:
+            if any(edits == 0 for edits, _, _ in best.values()):
                 break
             for maker, first in self.find_makers(maker_text).items():
                 for ref_id, second in self._find_models(maker, maker_text, model_text).items():
                     found = (first + second, turned, ref_id)
-                    if best is None or found < best:
-                        best = found
-        return best[2] if best else 0
+                    best[ref_id] = min(best.get(ref_id, found), found)
+        return tuple(sorted(best.values()))
 
 
 @lru_cache(2)
@@ -213,24 +232,40 @@ def _mapper(references: tuple) -> Mapper:
     return Mapper(list(references))
 
 
-def map_entries(entries: DataFrame, references: DataFrame, row: str = "entry_no") -> DataFrame:
-    """``ref_id, row`` of each entry whose brand and model are both not null and not blank; 0 is unmatched.
+def matches(entries: DataFrame, references: DataFrame, row: str = "entry_no", most: int = MOST_REFERENCES) -> DataFrame:
+    """``row, found``: of each entry whose brand and model are both not null and not blank, all entries of
+    the list within distance as ``edits, turned, ref_id``, the best first.
 
-    References with a null column are ignored, an empty list leaves every entry unmatched. Texts are
-    searched whole; one much longer than all entries matches none. Repeated entries give equal results.
+    Fewest edits win, then columns as named before turned ones, then the smallest id. References with a
+    null column are ignored. Texts are searched whole, of whatever length. Repeated entries give equal
+    results. The list is canonical and small; above ``most`` entries it is searched block by block.
     """
-    rows = references.select("ref_id", "brand", "model").dropna().limit(MOST_REFERENCES + 1).collect()
-    if len(rows) > MOST_REFERENCES:
-        raise ValueError(f"more than {MOST_REFERENCES} references")
-    known = entries.sparkSession.sparkContext.broadcast(tuple(sorted(tuple(r) for r in rows)))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        mapper = _mapper(known.value)
-        longest = 4 * max([len(b) + len(m) for _, b, m in known.value], default=0) + 40
-        for batch in batches:
-            ids = [mapper.map(b, m) if len(b) <= longest and len(m) <= longest else 0 for b, m in zip(batch["brand"], batch["model"])]
-            yield pd.DataFrame({"ref_id": ids, "row": batch["row"]})
-
+    known = references.select("ref_id", "brand", "model").dropna()
+    blocks = max(1, -(-known.count() // most))
     filled = entries.where((F.regexp_replace("brand", r"(?U)\s", "") != "") & (F.regexp_replace("model", r"(?U)\s", "") != ""))
-    slim = filled.select(F.col(row).cast("long").alias("row"), "brand", "model")
-    return spread(slim, "row").mapInPandas(run, "ref_id long, row long").withColumnRenamed("row", row)
+    slim = spread(filled.select(F.col(row).cast("long").alias("row"), "brand", "model"), "row")
+
+    def searched(block: int) -> DataFrame:
+        rows = known.where(F.pmod(F.xxhash64("brand"), F.lit(blocks)) == block).toLocalIterator()
+        shared = entries.sparkSession.sparkContext.broadcast(tuple(sorted(tuple(r) for r in rows)))
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            mapper = _mapper(shared.value)
+            for batch in batches:
+                found = [[{"edits": e, "turned": t, "ref_id": r} for e, t, r in mapper.map(b, m)] for b, m in zip(batch["brand"], batch["model"])]
+                yield pd.DataFrame({"row": batch["row"], "found": pd.Series(found, dtype=object)})
+
+        return slim.mapInPandas(run, "row long, found array<struct<edits:int,turned:int,ref_id:long>>")
+
+    out = searched(0)
+    for block in range(1, blocks):
+        out = out.unionByName(searched(block))
+    if blocks > 1:
+        out = out.groupBy("row").agg(F.array_sort(F.flatten(F.collect_list("found"))).alias("found"))
+    return out.withColumnRenamed("row", row)
+
+
+def map_entries(entries: DataFrame, references: DataFrame, row: str = "entry_no", most: int = MOST_REFERENCES) -> DataFrame:
+    """``ref_id, row``: the best of :func:`matches`, 0 is unmatched. An empty list leaves every entry unmatched."""
+    best = F.coalesce(F.get("found", F.lit(0))["ref_id"], F.lit(0)).alias("ref_id")
+    return matches(entries, references, row, most).select(best, row)

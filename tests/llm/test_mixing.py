@@ -31,3 +31,24 @@ def test_empty(spark):
     targets = spark.createDataFrame([("a", 1.0, 2)], TARGETS)
     assert mix(empty, targets).collect() == []
     assert [r.n_tokens for r in shares(mix(empty, targets), targets).collect()] == [0]
+
+
+def test_every_token_is_accounted_for(spark):
+    """Actual shares meet their targets to a record, each draw is distinct, no source is repeated too often, whatever the number of shards."""
+    rng = np.random.default_rng(3)
+    rows = [(i, "abc"[int(rng.choice(3, p=[0.7, 0.2, 0.1]))], int(rng.integers(1, 90))) for i in range(6000)]
+    targets = {"a": (0.2, 1), "b": (0.5, 2), "c": (0.3, 4)}
+    df = spark.createDataFrame(rows, SIZED)
+    wanted = spark.createDataFrame([(s, *t) for s, t in targets.items()], TARGETS)
+    for shards in (1, 300):
+        out = mix(df, wanted, shards=shards, block_rows=8).collect()
+        have = {s: sum(n for _, t, n in rows if t == s) for s in targets}
+        total = min(have[s] * r / share for s, (share, r) in targets.items())
+        for source, (share, repeats) in targets.items():
+            drawn = [r for r in out if r.source == source]
+            assert abs(sum(r.n_tokens for r in drawn) - total * share) <= 90 and max(r.repeat for r in drawn) < repeats
+        assert len({(r.doc_id, r.repeat) for r in out}) == len(out)
+        by_shard = {}
+        for r in out:
+            by_shard.setdefault(r.shard, []).append(r.position)
+        assert all(sorted(p) == list(range(1, len(p) + 1)) for p in by_shard.values()) and max(by_shard) < shards

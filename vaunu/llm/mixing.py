@@ -4,9 +4,11 @@ Records of a source fall into blocks by a hash. The quota of a source is a numbe
 a keyed permutation drawn anew for each repeat, and one block that is cut at a record. A splitting
 tree divides the block quotas of all sources among the output shards: each node draws how many blocks
 of each source go left from the multivariate hypergeometric distribution, so every shard is a fair
-sample of the mix and all draws are disjoint. Within its shard each record gets a shuffled position.
+sample of the mix and all draws are disjoint. Within its shard each record gets a shuffled position,
+by one range sort over all shards, so that no task holds a whole one.
 
-Only sums by block reach the driver: ``BLOCKS`` for each source at most, whatever the corpus.
+Only sums by block reach the driver. The number of shards follows from the records, that of blocks from
+both; a quota is met to the record whatever the size of the blocks.
 """
 
 from __future__ import annotations
@@ -14,13 +16,15 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaunu.session import materialize
 
-BLOCKS = 4096
-MOST_SOURCES = 1000
+#: Blocks of a source: so many, or several for each shard where there are more shards.
+BLOCKS, BLOCKS_A_SHARD = 4096, 4
+#: Records in a shard, unless the number of shards is given; and the least number of shards.
+ROWS_A_SHARD, LEAST_SHARDS = 1_000_000, 16
 
 
 def split(quotas: np.ndarray, shards: int, random: np.random.Generator) -> np.ndarray:
@@ -70,7 +74,7 @@ def plan(sizes: dict[str, dict[int, int]], targets: dict[str, tuple[float, int]]
     return out, total
 
 
-def mix(sized: DataFrame, targets: DataFrame, total: float | None = None, shards: int = 16, block_rows: int = 64, seed: int = 7) -> DataFrame:
+def mix(sized: DataFrame, targets: DataFrame, total: float | None = None, shards: int | None = None, block_rows: int = 64, seed: int = 7) -> DataFrame:
     """``doc_id, source, n_tokens, repeat, shard, position`` of each record drawn, once for each repeat.
 
     ``sized`` has ``doc_id, source, n_tokens``. Records without tokens or of a null or unnamed source
@@ -82,20 +86,18 @@ def mix(sized: DataFrame, targets: DataFrame, total: float | None = None, shards
         targets.where(F.col("source").isNotNull())
         .groupBy("source")
         .agg(F.sum(F.coalesce("target_share", F.lit(0.0))).alias("share"), F.max(F.coalesce("max_repeats", F.lit(0))).alias("cap"))
-        .limit(MOST_SOURCES + 1)
         .collect()
-    )
-    if len(rows) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
+    )  # the targets are written by hand: a row a source
     wanted = {r.source: (r.share, r.cap) for r in rows}
     spark = sized.sparkSession
     named = spark.createDataFrame([(s,) for s in wanted], "source string")
     kept = sized.select("doc_id", "source", F.col("n_tokens").cast("long")).where("n_tokens > 0")
-    kept = materialize(kept.join(F.broadcast(named), "source", "left_semi"))
+    kept = materialize(kept.join(named, "source", "left_semi"))
     counts = {r.source: r.n for r in kept.groupBy("source").agg(F.count(F.lit(1)).alias("n")).collect()}
-    blocks = [(s, min(BLOCKS, max(1, math.ceil(n / block_rows)))) for s, n in counts.items()]
+    shards = shards or max(LEAST_SHARDS, math.ceil(sum(counts.values()) / ROWS_A_SHARD))
+    blocks = [(s, min(max(BLOCKS, BLOCKS_A_SHARD * shards), max(1, math.ceil(n / block_rows)))) for s, n in counts.items()]
     of_source = spark.createDataFrame(blocks, "source string, n_blocks long")
-    placed = kept.join(F.broadcast(of_source), "source").withColumn(
+    placed = kept.join(of_source, "source").withColumn(
         "block", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("n_blocks"))
     )
     sizes: dict[str, dict[int, int]] = {}
@@ -103,15 +105,25 @@ def mix(sized: DataFrame, targets: DataFrame, total: float | None = None, shards
         sizes.setdefault(r.source, {})[r.block] = r.n
     draws, _ = plan(sizes, wanted, total, shards, seed)
     drawn = spark.createDataFrame(draws, "source string, block long, repeat int, shard int, most long")
-    # BLOCKS * repeats draws of a source at most.
-    taken = placed.join(F.broadcast(drawn), ["source", "block"]).drop("block", "n_blocks")
+    taken = placed.join(drawn, ["source", "block"]).drop("block", "n_blocks")
     order = F.xxhash64("doc_id", "repeat", F.lit(seed + 1))
     whole = taken.where("most is null").drop("most")
     running = F.sum("n_tokens").over(Window.partitionBy("source", "repeat").orderBy(order, "doc_id").rowsBetween(Window.unboundedPreceding, 0))
     edge = taken.where("most is not null").withColumn("running", running)
     cut = edge.where("running - n_tokens / 2 <= most").drop("most", "running")  # the record on the edge if half of it fits
-    position = F.row_number().over(Window.partitionBy("shard").orderBy(order, "doc_id"))
-    return whole.unionByName(cut).withColumn("position", position)
+    return _positions(whole.unionByName(cut), order)
+
+
+def _positions(rows: DataFrame, order: Column) -> DataFrame:
+    """``position`` from 1 of each row in its shard: its place in its partition of the sorted rows, after the shard's rows in those before."""
+    sorted_rows = rows.withColumn("_order", order).orderBy("shard", "_order", "doc_id", "repeat").drop("_order")
+    placed = materialize(sorted_rows.withColumn("_at", F.monotonically_increasing_id()))
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit(2**33 - 1))
+    placed = placed.withColumns({"_part": part, "_place": place})
+    runs = placed.groupBy("shard", "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+    earlier = F.sum("_n").over(Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = runs.select("shard", "_part", (F.coalesce(earlier, F.lit(0)) - F.col("_first") + 1).alias("_start"))  # a row for each shard and partition it lies in
+    return placed.join(starts, ["shard", "_part"]).withColumn("position", (F.col("_place") + F.col("_start")).cast("int")).drop("_part", "_place", "_at", "_start")
 
 
 def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:

@@ -76,6 +76,7 @@ def materialize(df: DataFrame) -> DataFrame:
     recomputation of what came before.
     """
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_dir(spark).rstrip('/')}/vaunu-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -87,6 +88,7 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     For scans of few bytes only: one that already has a partition for each core stays as it is.
     """
     spark = df.sparkSession
+    ship(spark)
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= 2 * cores:
         return df

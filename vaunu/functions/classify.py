@@ -61,12 +61,21 @@ def fuel_estimate(kind: Column, co2: Column) -> Column:
     )
 
 
+def _ties(base: float, step: int, low: float, high: float) -> list[int]:
+    """Masses whose estimate lies in the middle of two tenths, but whose binary value rounds to the odd one."""
+    most = int((high - base) * step) + 1
+    return [m for m in range(most) if m * 100 % step == 0 and (base * 100 + m * 100 // step) % 10 == 5 and low < base + m / step < high and round(base + m / step, 1) * 10 % 2 > 0.5 and round(base + m / step, 1) * 10 % 2 < 1.5]
+
+
 def electricity_estimate(kind: Column, mass: Column) -> Column:
-    return (
-        F.when(kind == "electric", F.bround(F.greatest(F.lit(15.0), F.least(F.lit(26.0), 11.0 + mass / 180)), 1))
-        .when(kind == "phev", F.bround(F.greatest(F.lit(16.0), F.least(F.lit(24.0), 10.5 + mass / 200)), 1))
-        .otherwise(0.0)
-    )
+    """Tenths of kWh from the mass, rounded as its binary value is: ties, which masses in whole kilograms can hit, are listed."""
+
+    def tenths(base: float, step: int, low: float, high: float) -> Column:
+        value = F.greatest(F.lit(low), F.least(F.lit(high), base + mass / step))
+        even = F.bround(value, 1)
+        return F.when(mass.isin(_ties(base, step, low, high)), F.bround(F.when(even > value, even - 0.1).otherwise(even + 0.1), 1)).otherwise(even)
+
+    return F.when(kind == "electric", tenths(11.0, 180, 15.0, 26.0)).when(kind == "phev", tenths(10.5, 200, 16.0, 24.0)).otherwise(0.0)
 
 
 def mass_fallback(road: Column, technical: Column, curb: Column) -> tuple[Column, Column]:

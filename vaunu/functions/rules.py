@@ -1,4 +1,4 @@
-"""Curated rule sets of the catalogue. Longer lists (model corrections) are parameters."""
+"""Curated rule sets of the catalogue."""
 
 from __future__ import annotations
 
@@ -47,7 +47,7 @@ UNKNOWN_MODELS = ["tuntematon", "unknown", "eitiedossa", "muu", "other"]
 ENGINE_WORDS = (
     r"\b(?:tfsi|tsi|tdi|gdi|mpi)\s+e\b"
     r"|\b(?:hybrid|hybridi|phev|plugin[\s-]*hybrid|plug[\s-]*in(?:[\s-]*hybrid)?|lataushybridi|mild[\s-]*hybrid|electric|elektro|sähk[öo]|bensiini|petrol|diesel|"
-    r"kaasu|gas|cng|lpg|bifuel|flexifuel|e85|battery[\s-]*electric)\b"
+    r"kaasu|gas|cng(?!-)|lpg(?!-)|bifuel|flexifuel|e85|battery[\s-]*electric)\b"
     r"|\b(?:tdi|tsi|tfsi|fsi|sdi|gdi|mpi|mpfi|cdi|cdti|tdci|hdi|bluehdi|dci|crdi|jtd|multijet|d-?4-?d|ecoboost|ecotec|vtec|vvti|multiair|twinair|e-?tech|skyactiv|"
     r"puretech|thp|vti|twinturbo|bluetec|bluetech|[ck]ompressor|komp|turbodiesel|dpf)\b"
 )
@@ -72,8 +72,75 @@ TRUSTED_TOTAL = 100
 MIN_MAKE_TOTAL = 2
 MIN_MODEL_TOTAL = 2
 MIN_MODEL_YEAR = 1990
-#: Model corrections: (make in small letters, model key) to the right spelling; a longer list is passed in.
+#: Misspelled models, by make in small letters and model key, and their right spelling; a longer list is passed in.
 MODEL_FIXES = {
-    ("skoda", "ostavia"): "Octavia", ("skoda", "oktavia"): "Octavia", ("skoda", "suberb"): "Superb", ("toyota", "landcruicer"): "Land Cruiser",
-    ("toyota", "landgruiser"): "Land Cruiser", ("volkswagen", "passt"): "Passat", ("volkswagen", "tiquan"): "Tiguan",
+    "skoda": {"ostavia": "Octavia", "oktavia": "Octavia", "suberb": "Superb", "oktaviascout": "Octavia Scout"},
+    "volkswagen": {
+        "passt": "Passat", "trasporter": "Transporter", "transportter": "Transporter", "transorter": "Transporter", "tranporter": "Transporter", "tiquan": "Tiguan",
+        "cafter": "Crafter", "shran": "Sharan", "sharon": "Sharan", "saharan": "Sharan", "toureg": "Touareg", "newbeetlecapriolet": "New Beetle Cabriolet",
+        "golfgabriolet": "Golf Cabriolet", "kleinbuss": "Kleinbus", "multivanstarline": "Multivan Startline",
+    },
+    "toyota": {
+        "landcruicer": "Land Cruiser", "landgruiser": "Land Cruiser", "landcuiser": "Land Cruiser", "higlander": "Highlander", "vanquard": "Vanguard", "rav": "Rav4",
+        "landcruiser150series9": "Land Cruiser 150",
+    },
+    "ford": {
+        "trasnsit": "Transit", "transitcuistom": "Transit Custom", "tranitcustom": "Transit Custom", "transitconnec": "Transit Connect", "mustan": "Mustang",
+        "mondeohydrid": "Mondeo Hybrid", "aglia": "Anglia", "tunderbird": "Thunderbird", "thundebird": "Thunderbird", "fairline": "Fairlane",
+        "streetkaa": "Street Ka", "transitpostyle": "Transit PROSTYLE", "rancher": "Ranchero", "prefekt": "Prefect", "modella": "Model A",
+    },
+    "mercedes-benz": {
+        "srinter": "Sprinter", "spriter": "Sprinter", "sprintter": "Sprinter", "spriinter": "Sprinter", "spinter": "Sprinter", "vklassse": "V-Klasse",
+        "vklase": "V-Klasse", "vitotouren": "Vito Tourer", "vitotouner": "Vito Tourer", "vitotouer": "Vito Tourer", "turismorhdl": "Tourismo RHD-L",
+        "flobyflaksrinter": "Floby Flak Sprinter", "flobyflacksprinter": "Floby Flak Sprinter", "gelendewagen": "Geländewagen",
+    },
+    "mitsubishi": {"otlander": "Outlander", "outlanderphew": "Outlander PHEV", "pajeromonter": "Pajero/Montero", "mitsubishil200": "L200"},
+    "kia": {"sportace": "Sportage"},
+    "renault": {"traffic": "Trafic", "mecanescenic": "Megane Scenic", "clioetechhydrid": "CLIO (E-Tech Hybrid)"},
+    "subaru": {"forrester": "Forester", "legasy": "Legacy", "imbreza": "Impreza", "lecacygtb": "Legacy GT-B"},
+    "citroen": {"jumby": "Jumpy"},
+    "tesla": {"modess": "Model S"},
+    "hyundai": {"ionic": "Ioniq"},
+    "peugeot": {"patner": "Partner"},
+    "suzuki": {"grantvitara": "Grand Vitara"},
+    "jeep": {"wrankler": "Wrangler", "grancherokee": "Grand Cherokee"},
+    "land rover": {"rangerrover": "Range Rover", "rangeroverevogue": "Range Rover Evoque", "rangeroverspor": "Range Rover Sport"},
+    "chrysler": {"grandvoager": "Grand Voyager", "sepringconvertible": "Sebring Convertible"},
+    "fiat": {"dugato": "Ducato", "dublo": "Doblo", "defthleffs": "Dethleffs", "euramobiel": "Euramobil", "affinitycambervan": "AFFINITY CAMPER VAN"},
+    "porsche": {"boxter": "Boxster", "boxters": "Boxster S", "cayannes": "Cayenne S"},
+    "scania": {"omnierpress": "OmniExpress", "cityewide": "Citywide", "inerlink": "Interlink"},
+    "dodge": {"challanger": "Challenger", "callenger": "Challenger", "challangerrt": "Challenger R/T"},
+    "honda": {"strem": "Stream", "legent": "Legend"},
+    "cadillac": {"escallade": "Escalade", "coupedewille": "Coupe de Ville"},
+    "opel": {
+        "kadet": "Kadett", "compovan": "Combo Van", "recorde": "REKORD-E", "record": "Rekord", "olympiarecord": "Olympia Rekord", "kadetcoupe": "Kadett Coupe",
+        "astrastasionwagon": "Astra Station Wagon",
+    },
+    "mg": {"marvelelectric": "Marvel R Electric", "marvellelectric": "Marvel R Electric"},
+    "audi": {"etronssportpack": "e-tron S Sportback"},
+    "chevrolet": {
+        "corvettestingay": "Corvette Stingray", "corvettestringray": "Corvette Stingray", "avalance": "Avalanche", "abache": "Apache",
+        "fleetsidepickud": "Fleetside Pick Up", "biscaune": "Biscayne", "masterdelux": "Master Deluxe",
+    },
+    "mercury": {"coucar": "Cougar", "montrey": "Monterey", "grandmarguis": "Grand Marquis", "monteclair": "Montclair", "cyklonegt": "Cyclone GT"},
+    "plymouth": {"satelite": "Satellite"},
+    "bentley": {"bentaygahydrid": "Bentayga Hybrid", "bentayagahybrid": "Bentayga Hybrid", "continentagtspeed": "Continental GT Speed"},
+    "lincoln": {"navicator": "Navigator", "towncarlimosine": "TOWN CAR Limousine"},
+    "oldsmobile": {"nintyeight": "Ninety Eight"},
+    "pontiac": {"firebirtformula": "Firebird Formula"},
+    "lancia": {"deltahfintergrale": "Delta HF Integrale"},
+    "smart": {"fourtwo": "Fortwo"},
+    "saab": {"sonetiii": "Sonett III"},
+    "nissan": {"kingcap": "King Cab", "doublecap": "Double Cab", "navaradoblecab": "Navara Double Cab", "kingcapnavara": "KING CAB Navara"},
+    "alfa romeo": {"breda": "Brera"},
+    "seat": {"leonsporttourerst": "LEON SPORTOURER ST", "leonsporttourersst": "LEON SPORTOURER ST"},
+    "mini": {"coopercaprio": "Cooper Cabrio"},
+    "alpina": {"bmwalbinab6coupeswitchtronic": "B6 Coupe Switch-Tronic"},
+    "volvo": {"volvors60": "R + S60"},
 }
+#: How a make is also written before a model, by the make; and further spellings of a make, in small letters, that are glued to models.
+MODEL_MAKES = {
+    "Mercedes-Benz": ["Mercedes-Benz", "Mercedes Benz", "Mercedesbenz", "Mercedes", "M-B", "M.B.", "MB"],
+    "Volkswagen": ["Volkswagen", "VW"],
+}
+MORE_MAKES = {"adria": ["adriatik"]}

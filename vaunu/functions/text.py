@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import sys
+import json
 import unicodedata
 
 from pyspark.sql import Column
@@ -11,23 +11,43 @@ from pyspark.sql import functions as F
 from vaunu.functions import rules
 
 
-def _fold_table() -> tuple[str, str]:
-    """Every character whose plain form is one ASCII letter or figure, and that form; built from the Unicode tables."""
-    source, target = [], []
-    for point in range(0x41, sys.maxunicode + 1):
+def _plain_forms() -> dict[str, str]:
+    """The plain form (small ASCII letters and figures) of every character that has one and isn't it; built from the Unicode tables."""
+    forms = {}
+    for point in [*range(0x41, 0x5B), *range(0xA0, 0xAC00), *range(0xF900, 0x20000)]:
         ch = chr(point)
-        if not ("A" <= ch <= "Z") and point < 0xA0 or 0xAC00 <= point <= 0xDFFF or 0x20000 <= point:
-            continue
-        plain = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c)).casefold()
-        if len(plain) == 1 and plain.isascii() and plain.isalnum() and plain != ch:
-            source.append(ch)
-            target.append(plain)
-    return "".join(source), "".join(target)
+        parts = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c)).casefold()
+        plain = "".join(c for c in parts if c.isascii() and c.isalnum())
+        if plain:
+            forms[ch] = plain
+    return forms
 
 
-FOLD_FROM, FOLD_TO = _fold_table()
+def _key_forms() -> dict[str, str]:
+    """What a character, or a letter with its combining mark, is in compatible composed form with case folded."""
+    forms = {}
+    for point in [*range(0x41, 0x5B), *range(0xA0, 0xAC00), *range(0xF900, 0x20000)]:
+        ch = chr(point)
+        new = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", ch).casefold())
+        if new != ch:
+            forms[ch] = new
+        apart = unicodedata.normalize("NFD", ch)
+        if len(apart) == 2 and unicodedata.combining(apart[1]) and unicodedata.normalize("NFC", apart) == ch:
+            forms[apart] = new
+    return forms
+
+
+_PLAIN, _KEYS = _plain_forms(), _key_forms()
+FOLD_FROM, FOLD_TO = ("".join(x) for x in zip(*[(c, p) for c, p in _PLAIN.items() if len(p) == 1]))
 #: Characters whose plain form is several letters.
-FOLD_LONG = {"ß": "ss", "ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "™": "tm", "½": "12", "¼": "14", "¾": "34"}
+FOLD_LONG = {c: p for c, p in _PLAIN.items() if len(p) > 1}
+
+
+def _mapped(column: Column, pieces: str, forms: dict[str, str]) -> Column:
+    """Each piece of a text as its form; plain ASCII texts stay as they are. The map is one literal."""
+    table = F.from_json(F.lit(json.dumps(forms)), "map<string,string>")
+    found = F.transform(F.regexp_extract_all(column, F.lit(pieces), F.lit(0)), lambda c: F.coalesce(F.try_element_at(table, c), c))
+    return F.when(column.rlike(r"[^\x00-\x7f]"), F.array_join(found, "")).otherwise(column)
 
 
 def let(value: Column, body) -> Column:
@@ -51,14 +71,13 @@ def matches(column: Column, pattern: str) -> Column:
 
 def fold(column: Column) -> Column:
     """Small ASCII letters and figures only: the identity of a name whatever its case, accents and separators."""
-    for ch, plain in FOLD_LONG.items():
-        column = F.replace(column, F.lit(ch), F.lit(plain))
-    return F.regexp_replace(F.translate(F.coalesce(column, F.lit("")), FOLD_FROM, FOLD_TO), "[^0-9a-z]+", "")
+    long = _mapped(F.coalesce(column, F.lit("")), "(?s).", FOLD_LONG)
+    return F.regexp_replace(F.translate(long, FOLD_FROM, FOLD_TO), "[^0-9a-z]+", "")
 
 
 def make_key(column: Column) -> Column:
     """Small letters with accents, words divided by single spaces."""
-    return F.trim(F.regexp_replace(F.lower(clean(column)), r"[^\p{L}\p{N}]+", " "))
+    return F.trim(F.regexp_replace(F.lower(_mapped(clean(column), r"(?s).\p{M}?", _KEYS)), r"[^\p{L}\p{N}]+", " "))
 
 
 def make_token(column: Column) -> Column:
@@ -75,17 +94,14 @@ def or_whole(stripped: Column, whole: Column) -> Column:
     return F.coalesce(F.nullif(stripped, F.lit("")), whole)
 
 
-LEGAL_FORM = r"[\s,\-]+(?:" + "|".join(s.replace(".", r"\.") for s in sorted(rules.BRAND_SUFFIXES, key=len, reverse=True)) + r")\s*\.?\s*$"
-COUNTRY_TAG = r"[\s,;]*\([a-z]{2,4}\)\s*$"
+_FORMS = "|".join(f.replace(".", r"\.") for f in sorted(rules.BRAND_SUFFIXES, key=len, reverse=True))
+#: Everything up to the first of the legal forms and country tags a name ends in.
+BEFORE_FORMS = rf"^(.+?)(?:[\s,\-]+(?:{_FORMS})(?:\s*\.)?[\s,.\-]*|[\s,;]*\([a-z]{{2,4}}\)[\s,;]*)+$"
 
 
-def strip_legal_forms(column: Column, passes: int = 4) -> Column:
-    """Legal forms and country tags off the end, as often as they occur up to ``passes``, never the whole name."""
-    value = clean(column)
-    for _ in range(passes):
-        value = let(value, lambda v: or_whole(_strip(replace(v, COUNTRY_TAG, ""), " ,;"), v))
-        value = let(value, lambda v: or_whole(_strip(replace(v, LEGAL_FORM, ""), " ,-."), v))
-    return value
+def strip_legal_forms(column: Column) -> Column:
+    """Legal forms and country tags off the end, as many as there are, never the whole name."""
+    return let(clean(column), lambda v: or_whole(_strip(replace(v, BEFORE_FORMS, "$1"), " ,;-."), v))
 
 
 def expand_makes(column: Column) -> Column:
@@ -142,6 +158,27 @@ def strip_exact_make(make: Column, name: Column) -> Column:
     return let(name, both)
 
 
+def _more_makes(make: Column) -> Column:
+    """Curated further spellings of a make that models begin with."""
+    table = F.create_map(*[x for m, more in rules.MORE_MAKES.items() for x in (F.lit(m), F.array(*map(F.lit, more)))])
+    return F.try_element_at(table, F.lower(clean(make)))
+
+
+def strip_make_alias(make: Column, name: Column) -> Column:
+    """An abbreviation of the row's own make before a name (``VW PASSAT``), the longest that fits; the rest must have a letter or figure."""
+
+    def without(value: Column, own: Column) -> Column:
+        tries = []
+        for full, aliases in rules.MODEL_MAKES.items():
+            for alias in sorted(aliases, key=len, reverse=True):
+                rest = F.btrim(F.substring(value, len(alias) + 2, F.length(value)), F.lit(" -,/."))
+                starts = F.upper(value).startswith(alias.upper()) & F.substring(value, len(alias) + 1, F.lit(1)).isin(" ", "-", ",", ".", "/")
+                tries.append(F.when((own == full) & starts & rest.rlike("[0-9A-Za-z]"), rest))
+        return F.coalesce(*tries, value)
+
+    return let(name, lambda v: let(normalize_make(make), lambda own: without(v, own)))
+
+
 def strip_mistyped_make(make: Column, name: Column) -> Column:
     """A make of one to three words before a name, at most one edit off; a make with figures stays."""
 
@@ -151,8 +188,9 @@ def strip_mistyped_make(make: Column, name: Column) -> Column:
 
     def without(words: Column, count: int) -> Column:
         head = fold(F.array_join(F.filter(F.slice(words, 1, count), lambda w: fold(w) != "and"), " "))
-        rest = _strip(F.array_join(F.slice(words, count + 1, 99), " "), " -,")
-        hit = let(head, lambda h: (h != "") & (let(fold(clean(make)), lambda k: head_is_make(h, k)) | let(fold(make_token(make)), lambda k: head_is_make(h, k))))
+        rest = _strip(F.array_join(F.slice(words, count + 1, F.greatest(F.size(words), F.lit(1))), " "), " -,")
+        more = F.coalesce(F.array_contains(_more_makes(make), head), F.lit(False))
+        hit = let(head, lambda h: (h != "") & (let(fold(clean(make)), lambda k: head_is_make(h, k)) | let(fold(make_token(make)), lambda k: head_is_make(h, k)) | more))
         return F.when((F.size(words) > count) & hit, F.nullif(rest, F.lit("")))
 
     def whole(value: Column) -> Column:
@@ -168,6 +206,7 @@ def strip_make(make: Column, name: Column) -> Column:
         value = strip_exact_make(make, whole)
         value = strip_mistyped_make(make, value)
         value = strip_exact_make(make, value)
+        value = strip_make_alias(make, value)
         return or_whole(value, whole)
 
     return let(clean(name), without)
@@ -275,8 +314,13 @@ def is_designation(model: Column, variant: Column) -> Column:
 
 def is_unknown(make: Column, model: Column) -> Column:
     """A placeholder, engine words only, or the make again."""
-    key = fold(clean(model))
-    return (key == "") | key.isin(rules.UNKNOWN_MODELS) | clean(model).rlike("(?iU)^(?:" + rules.ENGINE_WORDS + ")$") | ((fold(clean(make)) != "") & (key == fold(clean(make))))
+    key, own = fold(clean(model)), fold(clean(make))
+    alias = F.lit(False)
+    for full, aliases in rules.MODEL_MAKES.items():
+        keys = sorted({"".join(c for c in a.casefold() if c.isalnum()) for a in aliases})
+        alias = alias | (normalize_make(make) == full) & key.isin(keys)
+    more = F.coalesce(F.array_contains(_more_makes(make), key), F.lit(False))
+    return (key == "") | key.isin(rules.UNKNOWN_MODELS) | clean(model).rlike("(?iU)^(?:" + rules.ENGINE_WORDS + ")$") | ((own != "") & ((key == own) | alias | more))
 
 
 def is_technical(model: Column) -> Column:
@@ -315,6 +359,11 @@ def years_label(start: Column, end: Column) -> Column:
 
 
 def natural_key(column: Column) -> Column:
-    """A sort key for which figures count by value, whatever the case: runs of figures are padded to 20."""
-    pieces = F.split(F.lower(column), "(?<=[0-9])(?=[^0-9])|(?<=[^0-9])(?=[0-9])")
-    return F.array_join(F.transform(pieces, lambda p: F.when(p.rlike("^[0-9]"), F.lpad(p, 20, "0")).otherwise(p)), "")
+    """A sort key for which figures count by value, whatever the case: each run of figures has its length before it."""
+    pieces = F.regexp_extract_all(F.lower(column), F.lit("[0-9]+|[^0-9]+"), F.lit(0))
+
+    def keyed(piece: Column) -> Column:
+        bare = F.regexp_replace(piece, "^0+(?=[0-9])", "")
+        return F.when(piece.rlike("^[0-9]"), F.concat(F.lpad(F.length(bare).cast("string"), 10, "0"), bare)).otherwise(piece)
+
+    return F.array_join(F.transform(pieces, keyed), "")

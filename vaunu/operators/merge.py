@@ -66,5 +66,5 @@ def label_columns(items: DataFrame) -> DataFrame:
 
 
 def normalize_catalog(items: DataFrame) -> DataFrame:
-    """The whole normalization: labels, then the merge. The sum of ``merged_count`` is that of ``registered_count``."""
-    return merge_rows(materialize(label_columns(items.where(F.col("brand").isNotNull() & F.col("model").isNotNull()))))
+    """The whole normalization: labels, then the merge; a null make or model counts as empty. The sum of ``merged_count`` is that of ``registered_count``."""
+    return merge_rows(materialize(label_columns(items.fillna("", ["brand", "model"]))))

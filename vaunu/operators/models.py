@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,12 +12,12 @@ from vaunu.functions import text as T
 
 
 def fix_model(make: Column, model: Column, fixes: dict | None = None) -> Column:
-    """A curated correction of a model's spelling, else the model."""
-    table = {f"{m}\x00{k}": v for (m, k), v in (rules.MODEL_FIXES if fixes is None else fixes).items()}
+    """A curated correction of a model's spelling (``fixes``: by make in small letters, then by model key), else the model."""
+    table = {f"{m}\x00{k}": v for m, found in (rules.MODEL_FIXES if fixes is None else fixes).items() for k, v in found.items()}
     if not table:
         return model
     key = F.concat(F.lower(T.clean(make)), F.lit("\x00"), T.model_key(make, model))
-    return F.coalesce(F.try_element_at(T.literal_map(table), key), model)
+    return F.coalesce(F.try_element_at(F.from_json(F.lit(json.dumps(table)), "map<string,string>"), key), model)
 
 
 def display_models(pairs: DataFrame) -> DataFrame:

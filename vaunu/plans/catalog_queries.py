@@ -87,11 +87,13 @@ _MASS = "CASE WHEN road_mass <> 0 THEN road_mass WHEN technical_mass <> 0 THEN t
       CASE powertrain WHEN 'diesel' THEN CASE WHEN co2 <> 0 THEN round_even(co2 / 26.4::DOUBLE, 1) ELSE 6.2 END
         WHEN 'petrol' THEN CASE WHEN co2 <> 0 THEN round_even(co2 / 23.92::DOUBLE, 1) ELSE 6.8 END
         WHEN 'hybrid' THEN CASE WHEN co2 <> 0 THEN round_even(co2 / 23.92::DOUBLE, 1) ELSE 5.0 END
-        WHEN 'phev' THEN round_even(greatest(2.2, co2 / 23.92::DOUBLE), 1) ELSE 0.0 END::DOUBLE AS fuel_estimate FROM m""")
+        WHEN 'phev' THEN round_even(greatest(2.2, co2 / 23.92::DOUBLE), 1) ELSE 0.0 END::DOUBLE AS fuel_estimate,
+      CASE powertrain WHEN 'electric' THEN CAST(printf('%.1f', greatest(15.0::DOUBLE, least(26.0::DOUBLE, 11.0::DOUBLE + mass / 180::DOUBLE))) AS DOUBLE)
+        WHEN 'phev' THEN CAST(printf('%.1f', greatest(16.0::DOUBLE, least(24.0::DOUBLE, 10.5::DOUBLE + mass / 200::DOUBLE))) AS DOUBLE) ELSE 0.0 END::DOUBLE AS electricity_estimate FROM m""")
 def q_estimates(spark, sf_dir):
     mass, source = classify.mass_fallback(F.col("road_mass"), F.col("technical_mass"), F.col("curb_mass"))
     rows = register.supported(view(spark, sf_dir))
-    return rows.select("row_no", mass.alias("mass"), source.alias("mass_source"), classify.fuel_estimate(F.col("powertrain"), F.col("co2")).alias("fuel_estimate"))
+    return rows.select("row_no", mass.alias("mass"), source.alias("mass_source"), classify.fuel_estimate(F.col("powertrain"), F.col("co2")).alias("fuel_estimate"), classify.electricity_estimate(F.col("powertrain"), mass).alias("electricity_estimate"))
 
 
 @query()
@@ -122,17 +124,21 @@ def q_make_resolve(spark, sf_dir):
 
 
 @query(f"""WITH d AS (SELECT DISTINCT brand FROM admin_entries WHERE brand IS NOT NULL), c AS (SELECT brand, {sql.clean('brand')} AS v FROM d)
-    SELECT brand, coalesce(nullif(trim(regexp_replace(v, '(?i)[\\s,\\-]+(?:oyj|oy|ab|ag|gmbh|ltd|inc|s\\.r\\.l\\.|s\\.r\\.l|d\\.o\\.o\\.|d\\.o\\.o|a/s)\\s*\\.?\\s*$', ''), ' ,-.'), ''), v) AS make
-    FROM c WHERE NOT regexp_matches(lower(v), '(^|[^0-9a-z])(m[\\s.\\-]*b|vw|mercedes)([^0-9a-z]|$)')""")
+    SELECT brand, {sql.normal_make('v')} AS make FROM c""")
 def q_make_normalize(spark, sf_dir):
     rows = table(spark, sf_dir, "admin_entries").where(F.col("brand").isNotNull()).select("brand").distinct()
-    plain = rows.where(~F.lower(T.clean(F.col("brand"))).rlike(r"(^|[^0-9a-z])(m[\s.\-]*b|vw|mercedes)([^0-9a-z]|$)"))
-    return plain.select("brand", T.normalize_make(F.col("brand")).alias("make"))
+    return rows.select("brand", T.normalize_make(F.col("brand")).alias("make"))
 
 
-@query(f"SELECT DISTINCT model, {sql.fold('model')} AS model_key FROM vehicle_items WHERE model IS NOT NULL")
+@query(f"SELECT DISTINCT model, {sql.fold('model')} AS model_fold FROM vehicle_items WHERE model IS NOT NULL")
+def q_model_fold(spark, sf_dir):
+    return items(spark, sf_dir).where(F.col("model").isNotNull()).select("model").distinct().select("model", T.fold(F.col("model")).alias("model_fold"))
+
+
+@query()
 def q_model_key(spark, sf_dir):
-    return items(spark, sf_dir).where(F.col("model").isNotNull()).select("model").distinct().select("model", T.fold(F.col("model")).alias("model_key"))
+    pairs = items(spark, sf_dir).where(F.col("brand").isNotNull() & F.col("model").isNotNull()).select("brand", "model").distinct()
+    return pairs.select("brand", "model", T.model_key(F.col("brand"), F.col("model")).alias("model_key"))
 
 
 @query(f"""WITH p AS (SELECT brand || '|' || {sql.fold('model')} AS grp, model AS name, CAST(sum(coalesce(registered_count, 0)) AS BIGINT) AS w FROM vehicle_items
@@ -151,14 +157,10 @@ def q_model_names(spark, sf_dir):
     return models.model_names(rows.select(F.col("brand").alias("make"), "model", "registered_count"))
 
 
-@query(f"""WITH d AS (SELECT DISTINCT brand, {sql.clean('model')} AS model FROM admin_entries WHERE brand IS NOT NULL AND model IS NOT NULL),
-    k AS (SELECT brand, model, {sql.fold('brand')} AS key, {sql.fold("string_split(model, ' ')[1]")} AS head FROM d)
-    SELECT brand, model FROM k WHERE length(key) >= 4 AND head <> '' AND len(string_split(model, ' ')) > 1 AND levenshtein(head, key) <= 1""")
+@query()
 def q_fuzzy_prefix(spark, sf_dir):
     rows = table(spark, sf_dir, "admin_entries").where(F.col("brand").isNotNull() & F.col("model").isNotNull()).select("brand", T.clean(F.col("model")).alias("model")).distinct()
-    words = F.split("model", " ")
-    keyed = rows.select("brand", "model", T.fold(F.col("brand")).alias("key"), T.fold(F.get(words, F.lit(0))).alias("head"), F.size(words).alias("n"))
-    return keyed.where((F.length("key") >= 4) & (F.col("head") != "") & (F.col("n") > 1) & (F.levenshtein("head", "key", 1) >= 0)).select("brand", "model")
+    return rows.withColumn("rest", T.strip_mistyped_make(F.col("brand"), F.col("model"))).where("rest != model")
 
 
 @query()
@@ -188,14 +190,14 @@ def q_merge(spark, sf_dir):
 
 @query()
 def q_normalize_catalog(spark, sf_dir):
-    whole = merge.normalize_catalog(items(spark, sf_dir).where(F.col("model").isNotNull()))
+    whole = merge.normalize_catalog(items(spark, sf_dir))
     return whole.select("item_no", *merge.LABEL, "merged_count", "n_merged", F.size(F.coalesce("lineage", F.array())).alias("n_lineage"))
 
 
 _CANON = "regexp_replace(upper(coalesce({0}, '')), '[^A-Z0-9]', '', 'g')"
 
 
-@query(f"""WITH a AS (SELECT item_no, unnest(list_concat([type_approval], coalesce([r.type_approval FOR r IN source_records], []))) AS approval,
+_RANKED = f"""a AS (SELECT item_no, unnest(list_concat([type_approval], coalesce([r.type_approval FOR r IN source_records], []))) AS approval,
       generate_subscripts(list_concat([type_approval], coalesce([r.type_approval FOR r IN source_records], [])), 1) AS p FROM vehicle_items),
     o AS (SELECT item_no, upper(trim(approval)) AS approval, min(p) AS p FROM a WHERE trim(coalesce(approval, '')) <> '' GROUP BY 1, 2),
     r AS (SELECT item_no, approval, CAST(row_number() OVER (PARTITION BY item_no ORDER BY p) - 1 AS INTEGER) AS place FROM o),
@@ -205,13 +207,19 @@ _CANON = "regexp_replace(upper(coalesce({0}, '')), '[^A-Z0-9]', '', 'g')"
       TRY_CAST(nullif(regexp_extract(variant, ', ([0-9.]+) kW', 1), '') AS DOUBLE) AS kw FROM vehicle_items),
     x AS (SELECT item_no, place, cand_id, (CASE WHEN v <> '' AND cv <> '' AND v <> cv THEN 25 ELSE 0 END) + (CASE WHEN s <> '' AND cs <> '' AND s <> cs THEN 50 ELSE 0 END)
       + (CASE WHEN co2 > 0 AND cc > 0 THEN least(100.0, abs(co2 - cc)) ELSE 0 END) + (CASE WHEN kw > 0 AND cp > 0 THEN least(100.0, abs(kw - cp)) ELSE 0 END) AS score
-      FROM r JOIN c USING (approval) JOIN f USING (item_no))
-    SELECT item_no, cand_id, place, CAST(score AS DOUBLE) AS score FROM x QUALIFY row_number() OVER (PARTITION BY item_no ORDER BY place, score, cand_id) = 1""")
+      FROM r JOIN c USING (approval) JOIN f USING (item_no)),
+    e AS (SELECT item_no, cand_id, place, CAST(score AS DOUBLE) AS score FROM x QUALIFY row_number() OVER (PARTITION BY item_no ORDER BY place, score, cand_id) = 1)"""
+
+
+@query(f"WITH {_RANKED} SELECT * FROM e")
 def q_enrich_ranked(spark, sf_dir):
     return enrich.enrich(items(spark, sf_dir), table(spark, sf_dir, "eea_candidates"))
 
 
-@query()
+@query(f"""WITH {_RANKED}
+    SELECT v.item_no, CASE WHEN powertrain <> 'electric' AND fc IS NOT NULL THEN round_even(fc, 1) ELSE fuel_consumption END AS fuel_consumption,
+      CASE WHEN powertrain IN ('electric', 'phev') AND z_wh_km IS NOT NULL THEN round_even(z_wh_km / 10::DOUBLE, 1) ELSE electric_consumption END AS electric_consumption, report_year
+    FROM vehicle_items v LEFT JOIN (SELECT e.item_no, fc, z_wh_km, report_year FROM e JOIN eea_candidates USING (cand_id)) USING (item_no)""")
 def q_consumption(spark, sf_dir):
     return enrich.consumption(items(spark, sf_dir), table(spark, sf_dir, "eea_candidates")).select("item_no", "fuel_consumption", "electric_consumption", "report_year")
 
@@ -227,13 +235,16 @@ def q_model_stats(spark, sf_dir):
     return index.model_statistics(items(spark, sf_dir).where(F.col("brand").isNotNull() & F.col("model").isNotNull()))
 
 
+_ALIAS_KEYS = {m: sorted({"".join(c for c in a.lower() if c.isalnum()) for a in names}) for m, names in rules.MODEL_MAKES.items()}
+_IS_ALIAS = " OR ".join(f"(own_make = {sql.quoted(m)} AND key IN {sql.listed(keys)})" for m, keys in _ALIAS_KEYS.items())
+_KEPT = " OR ".join(f"(lower({sql.clean('brand')}) = {sql.quoted(m)} AND key = {sql.quoted(k)})" for m, k in rules.KEPT_MODELS)
 _REASON = f"""CASE WHEN make_total < 2 THEN 'rare-brand' WHEN lower({sql.clean('brand')}) IN {sql.listed(rules.HIDDEN_BRANDS)} THEN 'curated-hidden-brand'
-    WHEN lower({sql.clean('brand')}) IN {sql.listed(rules.BRAND_PLACEHOLDERS)} THEN 'placeholder-brand'
-    WHEN key = '' OR key IN {sql.listed(rules.UNKNOWN_MODELS)} OR regexp_full_match({sql.clean('model')}, '(?i)(?:{rules.ENGINE_WORDS})') OR key = {sql.fold('brand')} THEN 'unknown'
+    WHEN lower({sql.clean('brand')}) IN {sql.listed(rules.BRAND_PLACEHOLDERS)} THEN 'placeholder-brand' WHEN {_KEPT} THEN ''
+    WHEN key = '' OR key IN {sql.listed(rules.UNKNOWN_MODELS)} OR regexp_full_match({sql.clean('model')}, '(?i)(?:{sql.ENGINE_NAME})') OR key = {sql.fold('brand')} OR {_IS_ALIAS} THEN 'unknown'
     WHEN regexp_matches({sql.clean('model')}, {sql.quoted('(?i)' + rules.TECHNICAL)}) THEN 'technical'
     WHEN registrations < 2 AND (newest_year IS NULL OR newest_year < 1990) THEN 'rare+old' ELSE '' END"""
 _REASONS = f"""{_STATS}, m AS (SELECT brand, sum(registrations) AS make_total FROM s GROUP BY brand),
-    h AS (SELECT s.*, {_REASON} AS reason FROM (SELECT s.*, m.make_total, {sql.fold('s.model')} AS key FROM s JOIN m USING (brand)) s)"""
+    h AS (SELECT s.*, {_REASON} AS reason FROM (SELECT s.*, m.make_total, {sql.fold('s.model')} AS key, {sql.normal_make(sql.clean('s.brand'))} AS own_make FROM s JOIN m USING (brand)) s)"""
 
 
 @query(f"WITH {_REASONS} SELECT brand, model, registrations, newest_year, reason FROM h")
@@ -241,14 +252,13 @@ def q_hide_reason(spark, sf_dir):
     return index.hide_reasons(items(spark, sf_dir))
 
 
+_DESIGNATION = f"({sql.fold('model')} <> '' AND {sql.fold('model')} = {sql.fold(sql.variant_base('variant'))})"
 _OFFERED = f"""{_REASONS}, o AS (SELECT DISTINCT brand, model, vehicle_type, powertrain FROM vehicle_items v SEMI JOIN (SELECT brand, model FROM h WHERE reason = '') g USING (brand, model)
-    WHERE vehicle_type IS NOT NULL)"""
+    WHERE vehicle_type IS NOT NULL AND NOT {_DESIGNATION})"""
 
 
 def _offered(spark, sf_dir) -> DataFrame:
-    rows = items(spark, sf_dir)
-    named = index.hide_reasons(rows).where("reason = ''").select("brand", "model")
-    return rows.join(named, ["brand", "model"], "left_semi").where(F.col("vehicle_type").isNotNull()).select("brand", "model", "vehicle_type", "powertrain").distinct()
+    return index.selectable(items(spark, sf_dir))
 
 
 @query(f"""WITH {_OFFERED} SELECT brand, model, vehicle_type, coalesce(string_agg(powertrain, ',' ORDER BY powertrain), '') AS powertrains FROM o GROUP BY 1, 2, 3""")
@@ -262,7 +272,7 @@ def q_availability(spark, sf_dir):
     return index.availability(_offered(spark, sf_dir)).withColumn("powertrains", F.array_join("powertrains", ","))
 
 
-@query()
+@query(f"WITH {_OFFERED} SELECT brand, model, vehicle_type, powertrain FROM o")
 def q_selectable(spark, sf_dir):
     return index.selectable(items(spark, sf_dir))
 
@@ -400,10 +410,10 @@ def q_series_groups(spark, sf_dir):
     return reports.series_groups(items(spark, sf_dir))
 
 
-@query("SELECT DISTINCT model, lpad(regexp_extract(model, '([0-9]+)$', 1), 20, '0') AS figures FROM ref_models WHERE regexp_matches(model, '[0-9]$')")
+@query(f"SELECT DISTINCT model, {sql.natural_key('model')} AS sort_key FROM vehicle_items WHERE model IS NOT NULL")
 def q_natural_sort(spark, sf_dir):
-    rows = table(spark, sf_dir, "ref_models").where(F.col("model").rlike("[0-9]$")).select("model").distinct()
-    return rows.select("model", F.substring(T.natural_key(F.col("model")), -20, 20).alias("figures"))
+    rows = items(spark, sf_dir).where(F.col("model").isNotNull()).select("model").distinct()
+    return rows.select("model", T.natural_key(F.col("model")).alias("sort_key"))
 
 
 # ---------------------------------------------------------------- comparison and import

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from vaunu.functions import rules
-from vaunu.functions.text import FOLD_FROM, FOLD_LONG, FOLD_TO, NUMBER
+
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+#: Nothing follows a whole name, so what must not follow a word plays no part there.
+ENGINE_NAME = rules.ENGINE_WORDS.replace("(?!-)", "")
 
 SPACES = r"[\s\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{000b}]+"
 
@@ -29,15 +34,55 @@ def whole(x: str) -> str:
     return f"CAST(round_even({numeric(x)}, 0) AS INTEGER)"
 
 
+def _folded(ch: str) -> str:
+    return "".join(c for c in unicodedata.normalize("NFKD", unicodedata.normalize("NFKD", ch).lower().replace("ß", "ss")) if c in "abcdefghijklmnopqrstuvwxyz0123456789")
+
+
+def _keyed(ch: str) -> str:
+    return unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", ch).casefold())
+
+
+def _mapped(x: str, pieces: str, forms: dict[str, str]) -> str:
+    table = "MAP {" + ", ".join(f"{quoted(k)}: {quoted(v)}" for k, v in forms.items()) + "}"
+    return f"(CASE WHEN regexp_matches({x}, '[^\\x00-\\x7f]') THEN array_to_string([coalesce({table}[c], c) FOR c IN regexp_extract_all({x}, '{pieces}')], '') ELSE {x} END)"
+
+
+_LETTERS = [chr(i) for i in [*range(0xA0, 0x3400), *range(0xA640, 0xAC00), *range(0xF900, 0x10000), *range(0x1D400, 0x1D800), *range(0x1F100, 0x1F200)]]
+_FOLDS = {ch: _folded(ch) for ch in _LETTERS if _folded(ch)}
+_KEYS = {ch: _keyed(ch) for ch in _LETTERS if _keyed(ch) != ch}
+_KEYS |= {unicodedata.normalize("NFD", ch): _keyed(ch) for ch in map(chr, range(0xC0, 0x2000)) if len(unicodedata.normalize("NFD", ch)) == 2 and unicodedata.normalize("NFC", unicodedata.normalize("NFD", ch)) == ch}
+
+
 def fold(x: str) -> str:
     text = f"coalesce({x}, '')"
-    for ch, plain in FOLD_LONG.items():
-        text = f"replace({text}, {quoted(ch)}, {quoted(plain)})"
-    return f"regexp_replace(translate({text}, {quoted(FOLD_FROM)}, {quoted(FOLD_TO)}), '[^0-9a-z]+', '', 'g')"
+    return f"regexp_replace(lower({_mapped(text, '(?s).', _FOLDS)}), '[^0-9a-z]+', '', 'g')"
 
 
 def make_key(x: str) -> str:
-    return f"trim(regexp_replace(lower({clean(x)}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+    return f"trim(regexp_replace(lower({_mapped(clean(x), '(?s).' + chr(92) + 'pM?', _KEYS)}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+
+
+def normal_make(x: str) -> str:
+    """Curated corrections, abbreviations written out, legal forms and country tags off the end; ``x`` is clean."""
+    fixes = "MAP {" + ", ".join(f"{quoted(k)}: {quoted(v)}" for k, v in rules.BRAND_FIXES.items()) + "}"
+    text = f"regexp_replace({x}, '(?i)(^|[^0-9a-z])m[\\s.\\-]*b($|[^0-9a-z])', '\\1Mercedes-Benz\\2', 'g')"
+    text = f"replace(regexp_replace(regexp_replace({text}, '(?i)\\bmercedes[\\s\\-]*benz\\b', chr(1), 'g'), '(?i)\\bmercedes\\b', chr(1), 'g'), chr(1), 'Mercedes-Benz')"
+    text = f"regexp_replace({text}, '(?i)(^|[^0-9a-z])vw($|[^0-9a-z])', '\\1Volkswagen\\2', 'g')"
+    forms = "|".join(f.replace(".", "[.]") for f in sorted(rules.BRAND_SUFFIXES, key=lambda f: -len(f)))
+    ends = rf"(?i)^(.+?)(?:[\s,\-]+(?:{forms})\s*[.]?[\s,.\-]*|[\s,;]*\([a-z]{{2,4}}\)[\s,;]*)+$"
+    return f"coalesce({fixes}[lower({x})], nullif(trim(regexp_replace({text}, {quoted(ends)}, '\\1'), ' ,;-.'), ''), {text})"
+
+
+def variant_base(x: str) -> str:
+    text = f"trim(regexp_replace({clean(x)}, '\\s*\\[[^\\]]*\\]\\s*$', ''))"
+    return f"trim(regexp_replace(regexp_replace({text}, '\\s*\\([^()]*\\)\\s*$', ''), '(?i),\\s*\\d+(?:[.,]\\d+)?\\s*kW\\s*$', ''))"
+
+
+def natural_key(x: str) -> str:
+    return (
+        f"array_to_string([CASE WHEN regexp_matches(p, '^[0-9]') THEN lpad(CAST(length(regexp_replace(p, '^0+([0-9])', '\\1')) AS VARCHAR), 10, '0') || regexp_replace(p, '^0+([0-9])', '\\1')"
+        f" ELSE p END FOR p IN regexp_extract_all(lower({x}), '[0-9]+|[^0-9]+')], '')"
+    )
 
 
 def year_from(x: str) -> str:

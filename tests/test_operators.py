@@ -1,7 +1,8 @@
+import pytest
 from pyspark.sql import functions as F
 
-from vaunu.functions import text as T
-from vaunu.operators import compare, enrich, importing, index, makes, merge, models, register, reports
+from vaunu.functions import formats, text as T
+from vaunu.operators import compare, enrich, guards, importing, index, makes, merge, models, orders, pairs, register, reports
 
 ITEM = (
     "item_no long, id string, brand string, model string, variant string, years string, powertrain string, vehicle_type string, vehicle_class string, vehicle_group string, "
@@ -44,8 +45,10 @@ def test_merge_keeps_counts_and_lineage(spark):
     rows = [item(1, count=2, rank=4, co2=250), item(2, count=3, rank=2, co2=260), item(3, variant="2.8, 100 kW", count=7)]
     for order in (rows, rows[::-1]):
         got = {r.item_no: r for r in merge.normalize_catalog(frame(spark, *order)).collect()}
-        assert set(got) == {2, 3} and got[2].merged_count == 5 and got[2].co2 == 260 and got[2].lineage == ["i1", "i2"]
+        assert set(got) == {2, 3} and got[2].merged_count == 5 and got[2].co2 == 260 and [x.id for x in got[2].lineage] == ["i1", "i2"] and got[2].lineage[0].body_type == "AC" and got[2].lineage[0].road_mass == 0
         assert got[3].lineage is None and got[3].merged_count == 7
+    nameless = merge.normalize_catalog(frame(spark, *rows, item(4, brand=None, model=None, count=11))).agg(F.sum("merged_count")).first()
+    assert nameless[0] == 23
     assert merge.normalize_catalog(frame(spark)).collect() == []
 
 
@@ -94,7 +97,7 @@ def test_reports(spark):
     groups = reports.label_groups(df.where("brand is not null"), ["brand", "model"], ["co2", "years"])
     assert [tuple(r) for r in groups.collect()] == [("Fiat", "Golf", 2, "co2")]
     assert [tuple(r) for r in reports.field_frequency(groups).collect()] == [("co2", 1)] and reports.group_histogram(groups).collect()[0].n_groups == 1
-    assert [r.model for r in reports.engine_named(df).collect()] == ["Golf TDI"]
+    assert [(r.model, r.in_picker) for r in pairs.engine_report(df, df.limit(0)).collect()] == [("Golf TDI", False)]
     assert {r.brand: r.status for r in reports.make_report(df, df.limit(0)).collect()} == {"Fiat": "not-in-picker"}
     assert "all" in reports.pivot_matrix(index.model_statistics(df)).columns
 
@@ -124,3 +127,72 @@ def test_sanitize(spark):
         ("ab1", "Fiat", "Punto", "petrol", 12.0, 360.0, "passenger"), ("z", "a", "b", "diesel", 0.0, 0.0, "passenger"),
     ]
     assert T is not None
+
+
+def test_pair_reports_and_gates(spark):
+    df = frame(
+        spark, item(1, "Volvo", "V70", count=9), item(2, "Volvo", "240", years="1985"), item(3, "Volvo", "X 1", variant="X-1, 9 kW", count=9), item(4, "VOLVO", "V 90", years="1980", count=5),
+        item(5, "Volvo", "Amazon", years="1970", count=3),
+    )
+    offered = index.selectable(df).where("model != 'V70'")
+    got = {r.model: (r.reason, r.status) for r in pairs.pair_report(df, offered, "volvo").collect()}
+    assert got["240"] == ("rare+old", "hidden:rare+old") and got["X 1"] == ("designation", "hidden:designation") and got["V70"] == ("", "not-in-picker") and got["Amazon"][1] == "old"
+    assert [r.registrations for r in pairs.pair_report(df, offered).collect()] == [1, 3, 5, 9, 9]
+    assert {r.reason: r.n_pairs for r in pairs.hide_histogram(df, offered).collect()} == {"rare+old": 1, "designation": 1, "other": 1}
+    assert pairs.reasons(df, rare_and_old=False).where("model = '240'").first().reason == ""
+    matrix = {(r.bucket, r.decade): (r.kept, r.hidden) for r in pairs.rare_and_old_matrix(df).collect()}
+    assert matrix["1", "1980"] == (0, 1) and matrix["2-9", "1970"] == (1, 0)
+    stages = {r.stage: (r.n_rows, r.registrations, r.n_makes, r.n_models) for r in pairs.before_after(df, df.limit(0)).collect()}
+    assert stages == {"before": (5, 27, 2, 5), "after": (0, 0, 0, 0)}
+    pairs.gate(df.limit(0), "nothing")
+    with pytest.raises(ValueError, match="worded: a / Golf Kombi"):
+        pairs.gate(pairs.body_worded(spark.createDataFrame([("a", "Golf Kombi"), ("a", "Golf")], "brand string, model string")), "worded")
+
+
+def test_index_guards(spark):
+    offered = spark.createDataFrame([("A", "m", "van", "petrol"), ("A", "m", "van", "diesel"), ("b", "n", "bus", "diesel")], "brand string, model string, vehicle_type string, powertrain string")
+    table = index.index_rows(offered)
+    guards.check_index(table, offered, orders.makes_in_order(table), index.availability(offered))
+    bad = table.where("brand = 'A'").unionByName(spark.createDataFrame([("A", "x TDI", "ship", ["steam"]), ("A", "x TDI", "ship", ["steam"]), ("A", "y Kombi", "van", [])], table.schema))
+    found = {r.rule: r.n_rows for r in guards.index_violations(bad, offered, bad.select("brand").distinct(), index.availability(offered)).collect()}
+    assert found == {
+        "listed twice": 1, "missing": 1, "unexpected": 3, "other codes": 0, "no code": 1, "unknown code": 2, "engine word": 1, "body word": 1, "unknown type": 2, "makes differ": 1,
+        "availability differs": 0,
+    }
+    with pytest.raises(ValueError):
+        guards.check_index(bad, offered)
+    with pytest.raises(ValueError):
+        guards.check_index(table.limit(0), offered.limit(0))
+
+
+def test_unique_labels_and_lock(spark, tmp_path):
+    df = frame(spark, item(1), item(2), item(3, variant="x"), item(4, variant="2.3, 100 kW #9")).withColumn("body_label", F.lit(""))
+    got = {r.item_no: r.variant for r in guards.unique_labels(df).collect()}
+    assert got == {1: "2.3, 100 kW", 2: "2.3, 100 kW #2", 3: "x", 4: "2.3, 100 kW #9"}
+    lock = str(tmp_path / "a" / "lock")
+    with guards.build_lock(lock):
+        with pytest.raises(RuntimeError), guards.build_lock(lock):
+            pass
+    with guards.build_lock(lock):
+        pass
+
+
+def test_orders_and_import_index(spark):
+    df = frame(spark, item(1, "b", rank=2), item(2, "B", model="z", rank=1), item(3, "a", rank=1), item(4, "a", rank=None, powertrain="steam", vehicle_type=None))
+    assert [r.item_no for r in orders.catalogue_order(df).collect()] == [4, 3, 2, 1]
+    names = spark.createDataFrame([("Ärla",), ("coupe",), ("Coupé b",), ("Coupé",), ("Golf 10",), ("Golf 9",)], "n string")
+    assert [r.n for r in orders.natural_order(names.where("n like 'G%'"), "n").collect()] == ["Golf 9", "Golf 10"]
+    assert [r.n for r in orders.collated(names.where("n ilike 'c%'"), "n").collect()][-1] == "Coupé b"
+    table = index.import_index(df)
+    assert {(r.brand, r.vehicle_type): r.powertrains for r in table.where("brand = 'a'").collect()} == {("a", "passenger"): ["diesel"]}
+    assert index.index_types(table) == ["passenger"] and index.index_types(table.limit(0)) == ["passenger"]
+    assert {r.brand: r.vehicle_types for r in index.brand_types(table).collect()}["B"] == ["passenger"]
+
+
+def test_formats(spark):
+    row = spark.range(1).select(
+        formats.filled(F.lit("%s of %2$s, %s %% %9$s"), F.lit("a"), F.lit(2)).alias("a"), formats.escaped(F.lit("<a href='x'>\"&")).alias("b"), formats.number_text(F.lit(-1234567.5)).alias("c"),
+        formats.euro_text(F.lit(1234.5), 2).alias("d"), formats.start_year(F.lit("2004–2009")).alias("e"), formats.start_year(F.lit("1800")).alias("f"),
+        (formats.folded_case(F.lit("Straße")) == formats.folded_case(F.lit("STRASSE"))).alias("g"),
+    ).first()
+    assert tuple(row) == ("a of 2, 2 %% ", "&lt;a href=&#039;x&#039;&gt;&quot;&amp;", "−1\u00a0234\u00a0568", "1\u00a0234,50\u00a0€", 2004, 0, True)

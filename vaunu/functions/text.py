@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import json
+import functools
+import operator
+import re
 import unicodedata
 
 from pyspark.sql import Column
@@ -37,16 +39,26 @@ def _key_forms() -> dict[str, str]:
     return forms
 
 
+def _listed(forms: dict[str, str]) -> str:
+    """The pairs of a map in one text, so that a plan carries one short literal for it."""
+    return "".join(f"\x01{k}\x02{v}" for k, v in forms.items()) + "\x01"
+
+
 _PLAIN, _KEYS = _plain_forms(), _key_forms()
 FOLD_FROM, FOLD_TO = ("".join(x) for x in zip(*[(c, p) for c, p in _PLAIN.items() if len(p) == 1]))
 #: Characters whose plain form is several letters.
-FOLD_LONG = {c: p for c, p in _PLAIN.items() if len(p) > 1}
+FOLD_LONG = _listed({c: p for c, p in _PLAIN.items() if len(p) > 1})
+KEY_FORMS = _listed(_KEYS)
+
 
+def _mapped(column: Column, pieces: str, listed: str) -> Column:
+    """Each piece of a text as its form; plain ASCII texts stay as they are."""
 
-def _mapped(column: Column, pieces: str, forms: dict[str, str]) -> Column:
-    """Each piece of a text as its form; plain ASCII texts stay as they are. The map is one literal."""
-    table = F.from_json(F.lit(json.dumps(forms)), "map<string,string>")
-    found = F.transform(F.regexp_extract_all(column, F.lit(pieces), F.lit(0)), lambda c: F.coalesce(F.try_element_at(table, c), c))
+    def form(piece: Column) -> Column:
+        rest = F.call_function("substring_index", F.lit(listed), F.concat(F.lit("\x01"), piece, F.lit("\x02")), F.lit(-1))
+        return F.when(F.length(rest) == len(listed), piece).otherwise(F.substring_index(rest, "\x01", 1))
+
+    found = F.transform(F.regexp_extract_all(column, F.lit(pieces), F.lit(0)), form)
     return F.when(column.rlike(r"[^\x00-\x7f]"), F.array_join(found, "")).otherwise(column)
 
 
@@ -77,7 +89,7 @@ def fold(column: Column) -> Column:
 
 def make_key(column: Column) -> Column:
     """Small letters with accents, words divided by single spaces."""
-    return F.trim(F.regexp_replace(F.lower(_mapped(clean(column), r"(?s).\p{M}?", _KEYS)), r"[^\p{L}\p{N}]+", " "))
+    return F.trim(F.regexp_replace(F.lower(_mapped(clean(column), r"(?s).\p{M}?", KEY_FORMS)), r"[^\p{L}\p{N}]+", " "))
 
 
 def make_token(column: Column) -> Column:
@@ -158,25 +170,34 @@ def strip_exact_make(make: Column, name: Column) -> Column:
     return let(name, both)
 
 
-def _more_makes(make: Column) -> Column:
-    """Curated further spellings of a make that models begin with."""
-    table = F.create_map(*[x for m, more in rules.MORE_MAKES.items() for x in (F.lit(m), F.array(*map(F.lit, more)))])
-    return F.try_element_at(table, F.lower(clean(make)))
+def is_more_make(make: Column, key: Column) -> Column:
+    """The key is a curated further spelling of the make that models begin with."""
+    hits = [(F.lower(clean(make)) == m) & key.isin(more) for m, more in rules.MORE_MAKES.items()]
+    return functools.reduce(operator.or_, hits, F.lit(False))
+
+
+def _spellings(full: str) -> str:
+    """A pattern of what :func:`normalize_make` turns into a make."""
+    fixes = [re.escape(k) for k, v in rules.BRAND_FIXES.items() if v == full]
+    short = {"Mercedes-Benz": [r"mercedes(?:[\s\-]*benz)?", r"m[\s.\-]*b"], "Volkswagen": ["vw", "volkswagen"]}
+    return rf"(?iU)^(?:(?:{'|'.join(short.get(full, [re.escape(full)]))})(?:[\s,\-]+(?:{_FORMS})(?:\s*\.)?[\s,.\-]*|[\s,;]*\([a-z]{{2,4}}\)[\s,;]*)*|{'|'.join(fixes) or '(?!)'})$"
+
+
+OWN = {full: _spellings(full) for full in rules.MODEL_MAKES}
 
 
 def strip_make_alias(make: Column, name: Column) -> Column:
     """An abbreviation of the row's own make before a name (``VW PASSAT``), the longest that fits; the rest must have a letter or figure."""
 
-    def without(value: Column, own: Column) -> Column:
-        tries = []
+    def without(value: Column) -> Column:
+        out = value
         for full, aliases in rules.MODEL_MAKES.items():
-            for alias in sorted(aliases, key=len, reverse=True):
-                rest = F.btrim(F.substring(value, len(alias) + 2, F.length(value)), F.lit(" -,/."))
-                starts = F.upper(value).startswith(alias.upper()) & F.substring(value, len(alias) + 1, F.lit(1)).isin(" ", "-", ",", ".", "/")
-                tries.append(F.when((own == full) & starts & rest.rlike("[0-9A-Za-z]"), rest))
-        return F.coalesce(*tries, value)
+            before = "|".join(re.escape(a) for a in sorted(aliases, key=len, reverse=True))
+            pattern = rf"(?i)^(?:{before})[ \-,./][ \-,/.]*(?=.*[0-9A-Za-z])(.*?)[ \-,/.]*$"
+            out = F.when(clean(make).rlike(OWN[full]), F.regexp_replace(value, pattern, "$1")).otherwise(out)
+        return out
 
-    return let(name, lambda v: let(normalize_make(make), lambda own: without(v, own)))
+    return let(name, without)
 
 
 def strip_mistyped_make(make: Column, name: Column) -> Column:
@@ -186,11 +207,12 @@ def strip_mistyped_make(make: Column, name: Column) -> Column:
         figures = head.startswith(key) & F.substring(head, F.length(key) + 1, F.length(head)).rlike("^[0-9]+$")
         return (F.length(key) >= 4) & (F.levenshtein(head, key) <= 1) & ~figures
 
+    makes = F.array(fold(clean(make)), fold(make_token(make)))
+
     def without(words: Column, count: int) -> Column:
         head = fold(F.array_join(F.filter(F.slice(words, 1, count), lambda w: fold(w) != "and"), " "))
         rest = _strip(F.array_join(F.slice(words, count + 1, F.greatest(F.size(words), F.lit(1))), " "), " -,")
-        more = F.coalesce(F.array_contains(_more_makes(make), head), F.lit(False))
-        hit = let(head, lambda h: (h != "") & (let(fold(clean(make)), lambda k: head_is_make(h, k)) | let(fold(make_token(make)), lambda k: head_is_make(h, k)) | more))
+        hit = let(head, lambda h: (h != "") & (F.exists(makes, lambda k: head_is_make(h, k)) | is_more_make(make, h)))
         return F.when((F.size(words) > count) & hit, F.nullif(rest, F.lit("")))
 
     def whole(value: Column) -> Column:
@@ -223,7 +245,12 @@ def model_key(make: Column, name: Column) -> Column:
 
 def series_key(make: Column, name: Column) -> Column:
     """The identity of a model without engine, body and series words: ``3-sarja`` is ``3``."""
-    value = F.regexp_replace(normalize_model(make, name), "[¹²³]", "")
+    return bare_series(normalize_model(make, name))
+
+
+def bare_series(name: Column) -> Column:
+    """:func:`series_key` of a name that :func:`normalize_model` has seen."""
+    value = F.regexp_replace(name, "[¹²³]", "")
     value = strip_body_words(strip_engine_words(value))
     value = replace(value, r"\s*\(\s*(\d{1,3})\s+series\s*\)", " $1")
     value = replace(value, rules.SERIES_WORDS, " ")
@@ -318,9 +345,8 @@ def is_unknown(make: Column, model: Column) -> Column:
     alias = F.lit(False)
     for full, aliases in rules.MODEL_MAKES.items():
         keys = sorted({"".join(c for c in a.casefold() if c.isalnum()) for a in aliases})
-        alias = alias | (normalize_make(make) == full) & key.isin(keys)
-    more = F.coalesce(F.array_contains(_more_makes(make), key), F.lit(False))
-    return (key == "") | key.isin(rules.UNKNOWN_MODELS) | clean(model).rlike("(?iU)^(?:" + rules.ENGINE_WORDS + ")$") | ((own != "") & ((key == own) | alias | more))
+        alias = alias | clean(make).rlike(OWN[full]) & key.isin(keys)
+    return (key == "") | key.isin(rules.UNKNOWN_MODELS) | clean(model).rlike("(?iU)^(?:" + rules.ENGINE_WORDS + ")$") | ((own != "") & ((key == own) | alias | is_more_make(make, key)))
 
 
 def is_technical(model: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,6 +90,35 @@ def availability_map(offered: DataFrame) -> DataFrame:
     return availability(offered).groupBy("brand").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("vehicle_type", "powertrains")))).alias("kinds"))
 
 
+def known_codes(column: Column) -> Column:
+    """The known codes of a set, in the order of the list of powertrains."""
+    return F.array_intersect(F.array(*map(F.lit, rules.POWERTRAINS)), column)
+
+
+def import_index(items: DataFrame) -> DataFrame:
+    """The index of an imported catalogue: nothing is hidden, a missing type is a passenger car, unknown codes are dropped."""
+    kind = F.coalesce("vehicle_type", F.lit("passenger")).alias("vehicle_type")
+    rows = items.where(F.col("brand").isNotNull() & F.col("model").isNotNull())
+    return rows.groupBy("brand", "model", kind).agg(known_codes(F.collect_set("powertrain")).alias("powertrains"))
+
+
+def index_availability(index: DataFrame) -> DataFrame:
+    """``brand, vehicle_type, powertrains`` rebuilt from the rows of an index; types without a known code have no row."""
+    flat = index.select("brand", F.coalesce("vehicle_type", F.lit("passenger")).alias("vehicle_type"), F.explode("powertrains").alias("code"))
+    return flat.where(F.col("code").isin(rules.POWERTRAINS)).groupBy("brand", "vehicle_type").agg(known_codes(F.collect_set("code")).alias("powertrains"))
+
+
+def brand_types(index: DataFrame) -> DataFrame:
+    """``brand, vehicle_types`` of each make, sorted."""
+    return index.groupBy("brand").agg(F.array_sort(F.collect_set(F.coalesce("vehicle_type", F.lit("passenger")))).alias("vehicle_types"))
+
+
+def index_types(index: DataFrame) -> list[str]:
+    """The types an index holds, ``passenger`` where it holds none; there are as many as the list of types has."""
+    found = [r.vehicle_type for r in index.select("vehicle_type").where("vehicle_type is not null").distinct().orderBy("vehicle_type").collect()]
+    return found or ["passenger"]
+
+
 def facet_models(index: DataFrame, brand: str, vehicle_type: str = "", powertrain: str = "") -> DataFrame:
     """``model, sort_key`` of a make; a row without codes passes any fuel, an unknown fuel filters nothing."""
     rows = index.where(F.col("brand") == brand)
@@ -101,8 +132,10 @@ def facet_models(index: DataFrame, brand: str, vehicle_type: str = "", powertrai
 def facet_filters(flat: DataFrame, vehicle_type: str = "", powertrain: str = "") -> DataFrame:
     """``facet, value`` offered next: makes by type and fuel, fuels by type only, types by fuel only.
 
-    ``flat`` has ``brand, vehicle_type, powertrain``.
+    ``flat`` has ``brand, vehicle_type, powertrain``. Where nothing tells the fuels of any make, nothing is filtered.
     """
+    if flat.where("powertrain is not null").isEmpty():
+        vehicle_type = powertrain = ""
     of_type = flat.where(F.col("vehicle_type") == vehicle_type) if vehicle_type else flat
     of_fuel = flat.where(F.col("powertrain") == powertrain) if powertrain in rules.POWERTRAINS else flat
     both = of_type.where(F.col("powertrain") == powertrain) if powertrain in rules.POWERTRAINS else of_type
@@ -114,8 +147,12 @@ def facet_filters(flat: DataFrame, vehicle_type: str = "", powertrain: str = "")
 
 
 def facet_versions(items: DataFrame, brand: str, model: str, vehicle_type: str = "", powertrain: str = "") -> DataFrame:
-    """Items of a model; a missing type is a passenger car. On a sharded table add ``shard = model_shard(...)`` to prune."""
+    """Items of a model; a missing type is a passenger car, an unknown one has none. A sharded table is pruned to one shard."""
     rows = items.where((F.col("brand") == brand) & (F.col("model") == model))
+    if "shard" in items.columns:
+        rows = rows.where(F.col("shard").cast("string") == hashlib.sha256(f"{brand}\0{model}".encode()).hexdigest()[:2])
+    if vehicle_type and vehicle_type not in rules.VEHICLE_TYPES:
+        return rows.limit(0)
     if vehicle_type:
         rows = rows.where(F.coalesce("vehicle_type", F.lit("passenger")) == vehicle_type)
     if powertrain:
@@ -123,9 +160,10 @@ def facet_versions(items: DataFrame, brand: str, model: str, vehicle_type: str =
     return rows
 
 
-def version_label(kind: Column, variant: Column, body: Column, years: Column) -> Column:
-    """The parts of a version's label that there are, with dots between."""
-    parts = F.array(*[F.nullif(p, F.lit("")) for p in (kind, variant, body, years)])
+def version_label(kind: Column, variant: Column, body: Column, years: Column, vehicle_type: Column | None = None) -> Column:
+    """The parts of a version's label that there are, with dots between; the type where versions of several are listed."""
+    shown = (kind, variant, body, years) if vehicle_type is None else (kind, variant, body, years, vehicle_type)
+    parts = F.array(*[F.nullif(p, F.lit("")) for p in shown])
     return F.array_join(F.array_compact(parts), " · ")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vaunu.functions import rules
 from vaunu.functions import text as T
+from vaunu.session import materialize
 
 
 def fix_model(make: Column, model: Column, fixes: dict | None = None) -> Column:
@@ -39,14 +40,14 @@ def display_models(pairs: DataFrame) -> DataFrame:
 
 def model_names(items: DataFrame, fixes: dict | None = None) -> DataFrame:
     """``make, model, shown``: the shown spelling of each distinct pair of ``items`` (``make, model, registered_count``)."""
+    c = F.col
     pairs = items.groupBy("make", "model").agg(F.sum(F.coalesce("registered_count", F.lit(0))).alias("weight"))
-    fixed = pairs.withColumn("fixed", fix_model(F.col("make"), T.clean(F.col("model")), fixes))
-    named = fixed.withColumn("name", T.strip_body_words(T.strip_engine_words(T.strip_make(F.col("make"), F.col("fixed")))))
-    keyed = named.withColumns(
-        {
-            "group": F.concat_ws("\x00", T.make_key(F.col("make")), T.series_key(F.col("make"), F.col("name"))),
-            "own": F.concat_ws("\x00", T.make_key(F.col("make")), T.series_key(F.col("make"), F.col("fixed"))),
-        }
-    )
+    # written between the steps: the plans of long nested texts grow faster than their length
+    fixed = materialize(pairs.withColumn("fixed", fix_model(c("make"), T.clean(c("model")), fixes)))
+    named = materialize(fixed.withColumn("stripped", T.strip_make(c("make"), c("fixed"))))
+    named = named.withColumn("name", T.strip_body_words(T.strip_engine_words(c("stripped"))))
+    named = materialize(named.withColumns({"own": T.normalize_model(c("make"), c("fixed")), "group": T.normalize_model(c("make"), c("name"))}))
+    make = T.make_key(c("make"))
+    keyed = materialize(named.withColumns({"own": F.concat_ws("\x00", make, T.bare_series(c("own"))), "group": F.concat_ws("\x00", make, T.bare_series(c("group")))}))
     shown = display_models(keyed.select("group", "name", "weight"))
     return keyed.join(shown.withColumnRenamed("group", "own"), "own", "left").select("make", "model", F.coalesce("display", "fixed").alias("shown"))

@@ -10,6 +10,11 @@ from vaunu.functions import text as T
 from vaunu.operators.index import count_of
 
 
+def rare_makes(report: DataFrame, below: int = rules.MIN_MAKE_TOTAL) -> DataFrame:
+    """The rows of :func:`make_report` with fewer registrations, fewest first."""
+    return report.where(F.col("registrations") < below).orderBy("registrations", F.lower("brand"), "brand")
+
+
 def make_report(items: DataFrame, in_picker: DataFrame | None = None) -> DataFrame:
     """``brand, registrations, rows, models, first_year, status`` of each make."""
     start, _ = T.year_span(F.col("years"))
@@ -33,7 +38,7 @@ def model_report(items: DataFrame) -> DataFrame:
     start, end = T.year_span(F.col("years"))
     return items.where(F.col("brand").isNotNull() & F.col("model").isNotNull()).groupBy("brand", "model").agg(
         F.sum(count_of()).alias("registrations"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct("variant").alias("n_variants"),
-        F.count_distinct("vehicle_type").alias("n_types"), F.min(start).alias("first_year"), F.max(end).alias("last_year"),
+        F.count_distinct("vehicle_type").alias("n_types"), F.count_if(T.is_designation(F.col("model"), F.col("variant"))).alias("n_designations"), F.min(start).alias("first_year"), F.max(end).alias("last_year"),
     )
 
 
@@ -58,13 +63,32 @@ def pivot_matrix(stats: DataFrame) -> DataFrame:
 
 
 def label_groups(items: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
-    """Groups of several rows with one label: ``keys, n_rows`` and ``differing``, the fields with several values (null is one)."""
-    aggs = [F.count_distinct(F.coalesce(F.col(f).cast("string"), F.lit("\x00"))).alias(f"_{f}") for f in fields]
+    """Groups of several rows with one label: ``keys, n_rows`` and ``differing``, the fields with several values (null is one).
+
+    A field differs if its least and greatest values do: one aggregate, combined on the map side.
+    """
+    values = {f: F.coalesce(F.col(f).cast("string"), F.lit("\x00")) for f in fields}
+    aggs = [(F.min(v) != F.max(v)).alias(f"_{f}") for f, v in values.items()]
     groups = items.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), *aggs).where("n_rows > 1")
-    differing = F.array_join(F.array_compact(F.array(*[F.when(F.col(f"_{f}") > 1, f) for f in fields])), ",")
+    differing = F.array_join(F.array_compact(F.array(*[F.when(F.col(f"_{f}"), f) for f in fields])), ",")
     return groups.select(*keys, "n_rows", differing.alias("differing"))
 
 
+def noise_samples(items: DataFrame, patterns: dict[str, str], column: str = "variant", most: int = 6) -> DataFrame:
+    """``pattern, sample``: the first ``most`` distinct texts that match each pattern, in code-point order."""
+    out = None
+    for name, pattern in patterns.items():
+        hits = items.where(F.col(column).rlike(pattern)).select(F.lit(name).alias("pattern"), F.col(column).alias("sample")).distinct().orderBy("sample").limit(most)
+        out = hits if out is None else out.unionByName(hits)
+    return out
+
+
+def legacy_label(items: DataFrame) -> DataFrame:
+    """``item_no`` and the label without body: a bracketed detail stripped off the variant, missing parts empty."""
+    parts = [F.coalesce(c, F.lit("")).alias(c) for c in ("brand", "model", "powertrain", "years", "vehicle_type")]
+    return items.select("item_no", *parts, T.strip_detail(F.col("variant")).alias("variant"))
+
+
 def group_histogram(groups: DataFrame) -> DataFrame:
     """``n_rows, n_groups``: how many groups have each size."""
     return groups.groupBy("n_rows").agg(F.count(F.lit(1)).alias("n_groups"))
@@ -96,11 +120,6 @@ def noise_counts(items: DataFrame, patterns: dict[str, str], column: str = "vari
     return counts.selectExpr("n", f"stack({len(patterns)}, {stacked}) as (pattern, hits)").select("pattern", "hits", (F.col("hits") / F.col("n")).alias("share"))
 
 
-def engine_named(items: DataFrame) -> DataFrame:
-    """Pairs whose model still holds engine wording."""
-    return items.where(T.matches(F.col("model"), rules.ENGINE_WORDS)).groupBy("brand", "model").agg(F.sum(count_of()).alias("registrations"))
-
-
 def series_groups(items: DataFrame) -> DataFrame:
     """``brand, series_key, n_names``: models of a make that share a series key."""
     names = items.where(F.col("brand").isNotNull() & F.col("model").isNotNull()).select("brand", "model").distinct()

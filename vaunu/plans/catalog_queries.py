@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from vaunu.functions import classify, rules
 from vaunu.functions import text as T
-from vaunu.operators import compare, enrich, importing, index, makes, merge, models, register, reports
+from vaunu.functions import formats
+from vaunu.operators import compare, enrich, guards, importing, index, makes, merge, models, orders, pairs, register, reports
 from vaunu.plans import sql
 from vaunu.session import table
 
@@ -277,10 +278,45 @@ def q_selectable(spark, sf_dir):
     return index.selectable(items(spark, sf_dir))
 
 
-@query("SELECT brand, vehicle_type, string_agg(DISTINCT powertrain, ',' ORDER BY powertrain) AS powertrains FROM vehicle_items WHERE brand IS NOT NULL AND vehicle_type IS NOT NULL GROUP BY 1, 2")
+_CODES = "array_to_string([p FOR p IN {0} IF list_contains({1}, p)], ',')".format(str(rules.POWERTRAINS), "{0}")
+_IMPORTED = f"""i AS (SELECT brand, model, coalesce(vehicle_type, 'passenger') AS vehicle_type, {_CODES.format("list(DISTINCT powertrain) FILTER (powertrain IS NOT NULL)")} AS powertrains
+    FROM vehicle_items WHERE brand IS NOT NULL AND model IS NOT NULL GROUP BY 1, 2, 3)"""
+
+
+def _imported(spark, sf_dir) -> DataFrame:
+    return index.import_index(items(spark, sf_dir))
+
+
+@query(f"WITH {_IMPORTED} SELECT brand, model, vehicle_type, coalesce(powertrains, '') AS powertrains FROM i")
 def q_import_index(spark, sf_dir):
-    rows = items(spark, sf_dir).where(F.col("brand").isNotNull() & F.col("vehicle_type").isNotNull())
-    return index.availability(rows).withColumn("powertrains", F.array_join("powertrains", ","))
+    return _imported(spark, sf_dir).withColumn("powertrains", F.array_join("powertrains", ","))
+
+
+@query(f"""WITH {_IMPORTED}, c AS (SELECT brand, vehicle_type, unnest(string_split(powertrains, ',')) AS code FROM i WHERE powertrains <> '')
+    SELECT brand, vehicle_type, {_CODES.format("list(DISTINCT code)")} AS powertrains FROM c GROUP BY 1, 2""")
+def q_index_availability(spark, sf_dir):
+    return index.index_availability(_imported(spark, sf_dir)).withColumn("powertrains", F.array_join("powertrains", ","))
+
+
+@query(f"WITH {_IMPORTED} SELECT brand, string_agg(DISTINCT vehicle_type, ',' ORDER BY vehicle_type) AS vehicle_types FROM i GROUP BY 1")
+def q_brand_types(spark, sf_dir):
+    return index.brand_types(_imported(spark, sf_dir)).withColumn("vehicle_types", F.array_join("vehicle_types", ","))
+
+
+@query(f"""WITH {_OFFERED}, x AS (SELECT brand, model, vehicle_type, {_CODES.format("list(DISTINCT powertrain) FILTER (powertrain IS NOT NULL)")} AS codes FROM o GROUP BY 1, 2, 3), {_IMPORTED}
+    SELECT 'unexpected' AS rule, count(*) AS n_rows FROM i ANTI JOIN x USING (brand, model, vehicle_type)
+    UNION ALL SELECT 'missing', count(*) FROM x ANTI JOIN i USING (brand, model, vehicle_type)
+    UNION ALL SELECT 'other codes', count(*) FROM i JOIN x USING (brand, model, vehicle_type) WHERE i.powertrains <> x.codes
+    UNION ALL SELECT 'no code', count(*) FROM i WHERE coalesce(powertrains, '') = ''
+    UNION ALL SELECT 'unknown type', count(*) FROM i WHERE vehicle_type NOT IN {sql.listed(rules.VEHICLE_TYPES)}
+    UNION ALL SELECT 'listed twice', count(*) FROM (SELECT 1 FROM i GROUP BY brand, model, vehicle_type HAVING count(*) > 1)
+    UNION ALL SELECT 'makes differ', count(*) FROM (SELECT DISTINCT brand FROM i) ANTI JOIN (SELECT DISTINCT brand FROM x) USING (brand)""")
+def q_index_violations(spark, sf_dir):
+    given = _imported(spark, sf_dir)
+    in_order = index.index_rows(_offered(spark, sf_dir)).withColumn("powertrains", index.known_codes(F.col("powertrains")))
+    flat = in_order.select("brand", "model", "vehicle_type", F.explode_outer("powertrains").alias("powertrain"))
+    found = guards.index_violations(given.withColumn("powertrains", F.array_sort("powertrains")), flat, given.select("brand").distinct())
+    return found.where(F.col("rule").isin("unexpected", "missing", "other codes", "no code", "unknown type", "listed twice", "makes differ"))
 
 
 @query(f"WITH {_OFFERED} SELECT DISTINCT model FROM o WHERE brand = 'Lulbria' AND vehicle_type = 'passenger' AND powertrain = 'petrol'")
@@ -345,8 +381,8 @@ def q_report_makes(spark, sf_dir):
 
 
 @query(f"""SELECT brand, model, CAST(sum(coalesce(registered_count, 0)) AS BIGINT) AS registrations, count(*) AS n_rows, count(DISTINCT variant) AS n_variants,
-    count(DISTINCT vehicle_type) AS n_types, min({sql.year_from('years')}) AS first_year, max({sql.year_to('years')}) AS last_year FROM vehicle_items
-    WHERE brand IS NOT NULL AND model IS NOT NULL GROUP BY 1, 2""")
+    count(DISTINCT vehicle_type) AS n_types, count(*) FILTER ({_DESIGNATION}) AS n_designations, min({sql.year_from('years')}) AS first_year,
+    max({sql.year_to('years')}) AS last_year FROM vehicle_items WHERE brand IS NOT NULL AND model IS NOT NULL GROUP BY 1, 2""")
 def q_report_models(spark, sf_dir):
     return reports.model_report(items(spark, sf_dir))
 
@@ -400,9 +436,129 @@ def q_noise_counts(spark, sf_dir):
     return reports.noise_counts(items(spark, sf_dir), NOISE)
 
 
-@query()
+_ENGINE_TEXT = rules.ENGINE_WORDS.replace("cng(?!-)|lpg(?!-)|", "")
+_ENGINE_NAMED = f"(regexp_matches(model, {sql.quoted('(?i)' + _ENGINE_TEXT)}) OR regexp_matches(model, '(?i)\\b(?:cng|lpg)(?:[^-0-9a-z_]|$)'))"
+
+
+@query(f"""WITH {_OFFERED}, n AS (SELECT brand, model, CAST(sum(coalesce(registered_count, 0)) AS BIGINT) AS registrations FROM admin_entries WHERE {_ENGINE_NAMED} GROUP BY 1, 2)
+    SELECT brand, model, registrations, brand IS NOT NULL AND EXISTS (SELECT 1 FROM o WHERE o.brand = n.brand AND o.model = n.model) AS in_picker FROM n""")
 def q_engine_names(spark, sf_dir):
-    return reports.engine_named(table(spark, sf_dir, "admin_entries"))
+    return pairs.engine_report(table(spark, sf_dir, "admin_entries"), _offered(spark, sf_dir))
+
+
+_PAIRS = f"""{_OFFERED}, d AS (SELECT brand, model, CAST(sum(coalesce(registered_count, 0)) AS BIGINT) AS registrations, count(*) AS n_rows, count(DISTINCT variant) AS n_variants,
+    count(DISTINCT vehicle_type) AS n_types, count(*) FILTER ({_DESIGNATION}) AS n_designations, min({sql.year_from('years')}) AS first_year, max({sql.year_to('years')}) AS last_year
+    FROM vehicle_items WHERE brand IS NOT NULL AND model IS NOT NULL GROUP BY 1, 2),
+    w AS (SELECT d.*, CASE WHEN h.reason = '' AND n_designations >= n_rows THEN 'designation' ELSE h.reason END AS reason,
+      EXISTS (SELECT 1 FROM o WHERE o.brand = d.brand AND o.model = d.model) AS seen FROM d JOIN h USING (brand, model))"""
+
+
+@query(f"""WITH {_PAIRS} SELECT * EXCLUDE (seen), CASE WHEN reason <> '' THEN 'hidden:' || reason ELSE array_to_string([x FOR x IN [CASE WHEN registrations < 2 THEN 'rare' END,
+    CASE WHEN last_year IS NULL OR last_year < 1990 THEN 'old' END, CASE WHEN NOT seen THEN 'not-in-picker' END] IF x IS NOT NULL], ',') END AS status FROM w""")
+def q_pair_report(spark, sf_dir):
+    return pairs.pair_report(items(spark, sf_dir), _offered(spark, sf_dir))
+
+
+@query(f"WITH {_PAIRS} SELECT CASE WHEN reason = '' THEN 'other' ELSE reason END AS reason, count(*) AS n_pairs FROM w WHERE NOT seen GROUP BY 1")
+def q_hide_histogram(spark, sf_dir):
+    return pairs.hide_histogram(items(spark, sf_dir), _offered(spark, sf_dir))
+
+
+@query(f"""WITH {_PAIRS}, k AS (SELECT w.*, CASE WHEN h.reason = 'rare+old' THEN (CASE WHEN n_designations >= n_rows THEN 'designation' ELSE '' END) ELSE w.reason END AS other
+      FROM w JOIN h USING (brand, model)),
+    c AS (SELECT CASE WHEN registrations < 2 THEN '1' WHEN registrations < 10 THEN '2-9' WHEN registrations < 100 THEN '10-99' WHEN registrations < 1000 THEN '100-999' ELSE '1000+' END AS bucket,
+      coalesce(CAST(last_year // 10 * 10 AS VARCHAR), 'none') AS decade, registrations < 2 AND (last_year IS NULL OR last_year < 1990) AS gone FROM k WHERE other = '')
+    SELECT bucket, decade, count(*) FILTER (NOT gone) AS kept, count(*) FILTER (gone) AS hidden FROM c GROUP BY 1, 2""")
+def q_rare_and_old(spark, sf_dir):
+    return pairs.rare_and_old_matrix(items(spark, sf_dir))
+
+
+_TOTALS = """SELECT '{0}' AS stage, count(*) AS n_rows, CAST(coalesce(sum(coalesce(registered_count, 0)), 0) AS BIGINT) AS registrations,
+    count(DISTINCT coalesce(brand, chr(1))) AS n_makes, count(DISTINCT (coalesce(brand, chr(1)), coalesce(model, chr(1)))) AS n_models FROM {1}"""
+
+
+@query(_TOTALS.format("before", "register_rows").replace("registered_count", "1").replace("brand", "merkkiselvakielinen").replace("model,", "kaupallinennimi,") + " UNION ALL " + _TOTALS.format("after", "vehicle_items"))
+def q_before_after(spark, sf_dir):
+    before = table(spark, sf_dir, "register_rows").select(F.col("merkkiselvakielinen").alias("brand"), F.col("kaupallinennimi").alias("model"), F.lit(1).alias("registered_count"))
+    return pairs.before_after(before, items(spark, sf_dir))
+
+
+@query(f"WITH r AS ({_MAKES}) SELECT DISTINCT brand, make FROM r WHERE brand <> make")
+def q_make_collapses(spark, sf_dir):
+    return pairs.make_collapses(q_make_resolve(spark, sf_dir))
+
+
+@query(f"""
+    WITH t AS ({_TOTALS.format('x', 'vehicle_items')})
+    SELECT 'total' AS measure, 'n_rows' AS name, n_rows AS amount FROM t UNION ALL SELECT 'total', 'registrations', registrations FROM t UNION ALL SELECT 'total', 'n_makes', n_makes FROM t
+    UNION ALL SELECT 'total', 'n_models', n_models FROM t UNION ALL SELECT 'powertrain', powertrain, count(*) FROM vehicle_items GROUP BY 2
+    UNION ALL SELECT 'class', vehicle_class, CAST(sum(coalesce(registered_count, 0)) AS BIGINT) FROM vehicle_items GROUP BY 2""")
+def q_build_summary(spark, sf_dir):
+    return pairs.build_summary(items(spark, sf_dir))
+
+
+@query(" UNION ALL ".join(f"(SELECT DISTINCT '{n}' AS pattern, variant AS sample FROM vehicle_items WHERE regexp_matches(variant, {sql.quoted(p)}) ORDER BY variant LIMIT 6)" for n, p in NOISE.items()))
+def q_noise_samples(spark, sf_dir):
+    return reports.noise_samples(items(spark, sf_dir), NOISE)
+
+
+@query("""SELECT item_no, coalesce(brand, '') AS brand, coalesce(model, '') AS model, coalesce(powertrain, '') AS powertrain, coalesce(years, '') AS years,
+    coalesce(vehicle_type, '') AS vehicle_type, trim(regexp_replace(coalesce(variant, ''), '\\s*\\[[^\\]]*\\]\\s*$', '')) AS variant FROM vehicle_items""")
+def q_legacy_labels(spark, sf_dir):
+    return reports.legacy_label(items(spark, sf_dir))
+
+
+@query(f"""WITH {_LABELLED}, f AS (SELECT *, row_number() OVER (PARTITION BY brand, model, powertrain, variant, years, vehicle_type, body_label ORDER BY item_no) AS nth FROM l)
+    SELECT item_no, CASE WHEN nth > 1 THEN string_split(variant, ' #')[1] || ' #' || nth ELSE variant END AS variant FROM f""")
+def q_unique_labels(spark, sf_dir):
+    return guards.unique_labels(_labelled(spark, sf_dir)).select("item_no", "variant")
+
+
+_LOWER = "replace(lower(upper({0})), 'ß', 'ss')"
+
+
+@query(f"""SELECT item_no, row_number() OVER (ORDER BY coalesce(source_rank, 0), {_LOWER.format('brand')} NULLS FIRST, {_LOWER.format('model')} NULLS FIRST, powertrain NULLS FIRST,
+    {_LOWER.format('variant')} NULLS FIRST, coalesce(years, ''), id NULLS FIRST, item_no) AS place FROM vehicle_items""")
+def q_catalogue_order(spark, sf_dir):
+    rows = items(spark, sf_dir)
+    keys = [F.coalesce("source_rank", F.lit(0)), formats.folded_case(F.col("brand")), formats.folded_case(F.col("model")), F.col("powertrain"), formats.folded_case(F.col("variant")), F.coalesce("years", F.lit("")), F.col("id"), F.col("item_no")]
+    return register.global_rank(rows.select("item_no", *[k.alias(f"k{i}") for i, k in enumerate(keys)]), [F.asc(f"k{i}") for i in range(len(keys))], "place").select("item_no", "place")
+
+
+@query(f"WITH {_OFFERED} SELECT brand, row_number() OVER (ORDER BY {_LOWER.format('brand')}, brand) AS place FROM (SELECT DISTINCT brand FROM o)")
+def q_makes_in_order(spark, sf_dir):
+    made = orders.makes_in_order(_offered(spark, sf_dir)).withColumn("key", formats.folded_case(F.col("brand")))
+    return register.global_rank(made, [F.asc("key"), F.asc("brand")], "place").select("brand", "place")
+
+
+@query(f"SELECT item_no FROM vehicle_items WHERE {_LOWER.format('brand')} = {_LOWER.format(sql.quoted('LULBRIA'))}")
+def q_casefold_filter(spark, sf_dir):
+    return items(spark, sf_dir).where(formats.folded_case(F.col("brand")) == formats.folded_case(F.lit("LULBRIA"))).select("item_no")
+
+
+@query("""SELECT item_no, 'Auto: ' || coalesce(brand, '') || ' (' || coalesce(model, '') || '), ' || coalesce(brand, '') || '%' AS title,
+    replace(replace(replace(replace(replace(variant, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(39), '&#039;'), '"', '&quot;') AS html,
+    replace(replace(printf('%,d', registered_count), '.', ','), ',', chr(160)) || chr(160) || '€' AS amount FROM vehicle_items""")
+def q_formats(spark, sf_dir):
+    title = formats.filled(F.lit("Auto: %s (%2$s), %1$s%"), F.col("brand"), F.col("model"))
+    return items(spark, sf_dir).select("item_no", title.alias("title"), formats.escaped(F.col("variant")).alias("html"), formats.euro_text(F.col("registered_count")).alias("amount"))
+
+
+@query("""WITH y AS (SELECT item_no, TRY_CAST(regexp_extract(coalesce(years, ''), '^([0-9]{4})([–-][0-9]{4})?$', 1) AS INTEGER) AS y FROM vehicle_items)
+    SELECT item_no, CASE WHEN y BETWEEN 1886 AND 2026 THEN y ELSE 0 END AS start_year FROM y""")
+def q_start_year(spark, sf_dir):
+    return items(spark, sf_dir).select("item_no", formats.start_year(F.col("years")).alias("start_year"))
+
+
+@query(f"""WITH {_LABELLED}, g AS (SELECT *, min({{'a': coalesce(source_rank, 0), 'b': item_no}}) OVER (PARTITION BY coalesce(brand, ''), coalesce(model, ''), coalesce(powertrain, ''), coalesce(variant, ''),
+      years, coalesce(vehicle_type, ''), body_label).b AS kept, count(*) OVER (PARTITION BY coalesce(brand, ''), coalesce(model, ''), coalesce(powertrain, ''), coalesce(variant, ''), years,
+      coalesce(vehicle_type, ''), body_label) AS n FROM l),
+    r AS (SELECT kept, n, item_no, source_rank, len(source_records) > 0 AS had, CASE WHEN len(source_records) > 0 THEN [x.id FOR x IN source_records] ELSE [id] END AS ids FROM g),
+    e AS (SELECT kept, unnest(ids) AS rid FROM r)
+    SELECT kept AS item_no, string_agg(DISTINCT rid, ',' ORDER BY rid) AS record_ids FROM e WHERE rid <> '' AND kept IN (SELECT kept FROM r WHERE n > 1 OR had) GROUP BY 1""")
+def q_lineage(spark, sf_dir):
+    merged = merge.merge_rows(_labelled(spark, sf_dir).fillna({"brand": "", "model": "", "variant": "", "vehicle_type": "", "powertrain": ""}))
+    return merged.where(F.size("lineage") > 0).select("item_no", F.array_join(F.array_sort(F.col("lineage")["id"]), ",").alias("record_ids"))
 
 
 @query()

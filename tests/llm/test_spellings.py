@@ -1,3 +1,4 @@
+from vaunu.llm import spellings
 import itertools
 import random
 
@@ -68,3 +69,11 @@ def test_hot_maker(spark):
     got = makers(spark.createDataFrame(rows, "entry_id long, brand string")).collect()
     hot = {(r.family, r.maker) for r in got if r.entry_id < 1000}
     assert len(got) == 700 and len(hot) <= 4
+
+
+def test_a_hot_maker_is_salted_and_stays_whole(spark, monkeypatch):
+    monkeypatch.setattr(spellings, "SHARE", 7)
+    rows = [(i, "Nimhaksil Trailers" if i % 3 else "Lipaho Trailers") for i in range(60)]
+    df = spark.createDataFrame(rows, "entry_id long, brand string")
+    got = sorted(map(tuple, spellings.same_maker_pairs(df).collect()))
+    assert got == [(a, b) for a, x in rows for b, y in rows if a < b and x == y]

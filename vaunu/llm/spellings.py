@@ -353,9 +353,20 @@ def makers(entries: DataFrame, row: str = "entry_id", text: str = "brand") -> Da
     return placed.join(told, ["family", "first", "trade"]).select(F.col("row").alias(row), "family", "maker")
 
 
+#: Rows of a maker that one task pairs with a share of its rows.
+SHARE = 2048
+
+
 def same_maker_pairs(entries: DataFrame, row: str = "entry_id", text: str = "brand") -> DataFrame:
-    """``entry_a, entry_b``: all pairs of rows that name the same maker, ``entry_a < entry_b``."""
+    """``entry_a, entry_b``: all pairs of rows that name the same maker, ``entry_a < entry_b``.
+
+    A maker of many rows is salted: one side lies in shares of about ``SHARE`` rows, the other goes to each.
+    """
     known = materialize(makers(entries, row, text))
-    a = known.select(F.col(row).alias("entry_a"), "family", "maker")
-    b = known.select(F.col(row).alias("entry_b"), "family", "maker")
-    return a.join(b, ["family", "maker"]).where("entry_a < entry_b").select("entry_a", "entry_b")
+    maker = ["family", "maker"]
+    sizes = known.groupBy(*maker).agg(F.count(F.lit(1)).alias("n"))
+    hot = materialize(sizes.where(F.col("n") > SHARE).select(*maker, F.ceil(F.col("n") / SHARE).alias("shares")))
+    shared = known.join(hot, maker, "left").withColumn("shares", F.coalesce("shares", F.lit(1).cast("long")))
+    a = shared.select(F.col(row).alias("entry_a"), *maker, F.pmod(F.xxhash64(row), F.col("shares")).alias("share"))
+    b = shared.select(F.col(row).alias("entry_b"), *maker, F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share"))
+    return a.join(b, [*maker, "share"]).where("entry_a < entry_b").select("entry_a", "entry_b")

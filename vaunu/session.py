@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 import zipfile
@@ -69,15 +70,31 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_written: list[tuple[SparkSession, str]] = []
+
+
+def _delete_written() -> None:
+    """Results may be read lazily until the application ends; then nothing of what was written between stays."""
+    for spark, path in _written:
+        try:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        except Exception:  # noqa: BLE001 - the JVM is gone already
+            return
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet into the shared folder and read it back.
 
     Cuts the lineage, so that a plan used twice is computed once and a lost executor costs no
-    recomputation of what came before.
+    recomputation of what came before. The files are deleted when the application ends.
     """
     spark = df.sparkSession
     ship(spark)
     path = f"{shared_dir(spark).rstrip('/')}/vaunu-{uuid.uuid4().hex}"
+    if not _written:
+        atexit.register(_delete_written)
+    _written.append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

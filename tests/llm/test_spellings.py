@@ -77,3 +77,46 @@ def test_a_hot_maker_is_salted_and_stays_whole(spark, monkeypatch):
     df = spark.createDataFrame(rows, "entry_id long, brand string")
     got = sorted(map(tuple, spellings.same_maker_pairs(df).collect()))
     assert got == [(a, b) for a, x in rows for b, y in rows if a < b and x == y]
+
+
+def named(names):
+    return [("-".join(p for p in n if p), *n, 1) for n in names]
+
+
+def test_links_are_all_pairs_within_the_radius(spark, monkeypatch):
+    """Cells of parts, guests, one word and cut names together against brute force, in one piece and divided."""
+    random.seed(8)
+    base = [("lipaho", "nimhaksil"), ("lipuho", "nimhaksul"), ("kokido", "nimhaksil"), ("lipaho", "vondekvas")]
+    names = {tuple(sorted(typo(p) for p in random.choice(base))) for _ in range(90)}
+    names |= {("".join(typo(p) for p in random.choice(base)), "") for _ in range(25)} | {("lipahnoimhaksl", ""), ("nimhaksillipaho", ""), ("y" * 60, ""), ("y" * 59, "")}
+    names |= {tuple(sorted((random.choice(["lip.", "lipa.", "ilpa."]), typo("nimhaksil")))) for _ in range(15)} | {("lipaho", "nimh."), ("lip.", "nixxaksil")}
+    names = sorted(names)
+    df = spark.createDataFrame(named(names), "name string, a string, b string, n long")
+    want = {(x, y) for (x, p), (y, q) in itertools.combinations([(r[0], r[1:3]) for r in named(names)], 2) if distance(p, q) <= (0 if spellings._cut(p) and spellings._cut(q) else RADIUS)}
+    lost = {n[0] for n in named(names) if spellings._cut(n[1:3])}
+    for cell in (256, 5):
+        monkeypatch.setattr(spellings, "CELL", cell)
+        got = {tuple(sorted((r.x, r.y))): r.d for r in spellings.linked(df).collect()}
+        assert set(got) <= {tuple(sorted(w)) for w in want}
+        # a cut name goes to its nearest, so that those farther are not needed where one is within 1
+        best = {c: min([d for p, d in got.items() if c in p and not set(p) <= lost], default=9) for c in lost}
+        missing = {tuple(sorted(w)) for w in want} - set(got)
+        assert all(len(set(p) & lost) == 1 and best[(set(p) & lost).pop()] < 2 for p in missing), missing
+
+
+def test_cells_do_not_grow_with_the_square(spark):
+    """Names of unrelated makers are guests of few cells: by the longer part only, and at home in their own."""
+    names = named([(a + b + c, f"{x}hak{y}") for a, b, c, x, y in itertools.product(["li", "lu", "lo", "le"], ["pa", "pi", "pu", "po"], ["ho", "hu"], ["nim", "dul"], ["sil", "tek"])])
+    df = spark.createDataFrame(names, "name string, a string, b string, n long")
+    rows = spellings._placed(df).groupBy("guest").count().collect()
+    assert {r.guest: r["count"] for r in rows} == {False: 2 * len(names)}
+
+
+def test_within_one():
+    words = ["", "a", "ab", "ba", "abc", "acb", "bca", "abcd", "abdc", "bcda", "axcd"]
+    assert all(spellings.within_one(a, b) == (edits(a, b, 1) <= 1) for a in words for b in words)
+
+
+def test_tree_of_a_large_cell(monkeypatch):
+    monkeypatch.setattr(spellings, "CELL", 24)
+    test_tree_equals_all_pairs()

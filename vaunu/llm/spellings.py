@@ -20,13 +20,14 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaunu.llm.lookalikes import fold
 from vaunu.session import materialize, spread
 
 RADIUS = 2
+REACH = range(-RADIUS, RADIUS + 1)
 #: Short forms of first names.
 NICKNAMES = {
     "alexander": "alex sasha sandy", "anthony": "tony toni", "charles": "charlie chuck", "edward": "ed eddie ted ned", "elizabeth": "betty liz lizzie beth",
@@ -165,23 +166,28 @@ def _cut(name: tuple[str, str]) -> bool:
     return name[0].endswith(".") or name[1].endswith(".")
 
 
-def near(names: list[tuple[str, str]]) -> list[tuple[int, int, int]]:
-    """All pairs ``i, j, distance`` of a cell within the radius: exact, by a tree of distances.
+#: Names of a cell up to which comparing sets of letters costs less than a tree, and above which a cell is divided.
+CELL = 256
+
+
+def near(names: list[tuple[str, str]], others: list[str] | None = None) -> list[tuple[int, int, int]]:
+    """All pairs ``i, j, distance`` of a cell within the radius: exact, by a tree of distances if it is large.
 
     A node's children are kept by their distance to it; the triangle inequality rules out those whose
     distance differs from the searched name's by more than the radius. Names that were cut short or are
     written as one word have no true distance to the others, so they are compared one by one; two that
-    were cut short only count if nothing contradicts.
+    were cut short only count if nothing contradicts. ``others`` has the other parts of names with one in common.
     """
     out, whole = [], [i for i, n in enumerate(names) if n[1] and not _cut(n)]
-    far, sets = 60, [letters(a + b) for a, b in names]
+    far, sets = 60, [letters(t) for t in others or [a + b for a, b in names]]
 
-    def alike(i: int, j: int) -> bool:
-        return (sets[i] ^ sets[j]).bit_count() <= 2 * RADIUS  # an edit puts at most one letter out and one in
+    def alike(i: int, others: list[int]) -> list[int]:
+        own = sets[i]  # an edit puts at most one letter out and one in
+        return [j for j in others if (own ^ sets[j]).bit_count() <= 2 * RADIUS]
 
-    if len(whole) <= 24:
+    if len(whole) <= CELL:
         for k, i in enumerate(whole):
-            out += [(i, j, d) for j in whole[:k] if alike(i, j) and (d := distance(names[i], names[j])) <= RADIUS]
+            out += [(i, j, d) for j in alike(i, whole[:k]) if (d := distance(names[i], names[j])) <= RADIUS]
     else:
         children: dict[int, dict[int, int]] = {whole[0]: {}}
         for i in whole[1:]:
@@ -203,68 +209,252 @@ def near(names: list[tuple[str, str]]) -> list[tuple[int, int, int]]:
             children[i] = {}
     joined = [i for i, n in enumerate(names) if not n[1] and not _cut(n)]
     for k, i in enumerate(joined):
-        out += [(i, j, d) for j in [*whole, *joined[:k]] if alike(i, j) and (d := distance(names[i], names[j])) <= RADIUS]
+        out += [(i, j, d) for j in alike(i, [*whole, *joined[:k]]) if (d := distance(names[i], names[j])) <= RADIUS]
     cut = [i for i, n in enumerate(names) if _cut(n)]
     for k, i in enumerate(cut):
-        out += [(i, j, d) for j in [*whole, *joined] if (d := distance(names[i], names[j])) <= RADIUS]
+        full = [*whole, *joined]
+        if others:
+            size, own = len(others[i]) - 1, letters(others[i][:-1])
+            full = [j for j in whole if (own ^ letters(others[j][:size])).bit_count() <= 2 * RADIUS]
+        out += [(i, j, d) for j in full if (d := distance(names[i], names[j])) <= RADIUS]
         out += [(i, j, 0) for j in cut[:k] if distance(names[i], names[j], 0) == 0]
     return out
 
 
+def within_one(a: str, b: str) -> bool:
+    """``edits(a, b, 1) <= 1``, without a table."""
+    if a == b:
+        return True
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > 1:
+        return False
+    i = 0
+    while i < len(a) and a[i] == b[i]:
+        i += 1
+    if len(a) < len(b):
+        return a[i:] == b[i + 1 :]
+    return a[i + 1 :] == b[i + 1 :] or a[i : i + 2] == b[i : i + 2][::-1] and a[i + 2 :] == b[i + 2 :]
+
+
+def visits(home: list[tuple[str, str, str]], guests: list[tuple[str, str, str]]) -> list[tuple[int, int, int]]:
+    """``guest, home, distance`` of those within the radius; both are ``a, b, other``.
+
+    ``other`` is the part that did not lead to the cell. A guest's leading part is at distance 1 to the
+    pivot, which is the leading part of those at home, so the other parts are at distance 1 at most.
+    """
+    out, sets = [], [letters(o) for _, _, o in home]
+    for i, (a, b, other) in enumerate(guests):
+        if other.endswith("."):
+            most, half = len(other) - 1, (len(other) - 1) // 2
+            left, right = other[:half], other[half + 1 : most]  # an edit or a swap that keeps the length spares one of them
+            fits = [j for j, (_, _, o) in enumerate(home) if o[:half] == left or o[half + 1 : most] == right]
+        else:
+            own = letters(other)
+            fits = [j for j, s in enumerate(sets) if (own ^ s).bit_count() <= 2 and within_one(other, home[j][2])]
+        out += [(i, j, d) for j in fits if (d := distance((a, b), home[j][:2])) <= RADIUS]
+    return out
+
+
+LINKS = "x string, y string, d int, y_rows long, x_cut boolean, y_cut boolean"
+
+
 def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows sorted by pivot in; the links of each cell out. A cell may go on in the next batch."""
-    pivot, cell = None, []
+    """Rows sorted by cell in; the links of each cell out. A cell may go on in the next batch."""
+    at, cell = None, []
 
     def links() -> list[tuple]:
-        names = [(a, b) for _, a, b, _ in cell]
-        return [(cell[i][0], cell[j][0], d, cell[j][3], _cut(names[i]), _cut(names[j])) for i, j, d in near(names)] if len(cell) > 1 else []
+        home = [m for m in cell if not m[5]]
+        out = []
+        if len(home) > 1:
+            out += [(home[i], home[j], d) for i, j, d in near([m[1:3] for m in home], [m[3] for m in home])]
+        whole = [m for m in home if m[2] and not _cut(m[1:3])]
+        guests = [m for m in cell if m[5]]
+        if whole and guests:
+            paired = [m for m in guests if m[2]]
+            out += [(paired[i], whole[j], d) for i, j, d in visits([m[1:4] for m in whole], [m[1:4] for m in paired])]
+        for m in guests:
+            if not m[2]:  # one word: it has a distance to all at home
+                out += [(h, m, d) if _cut(h[1:3]) else (m, h, d) for h in home if (d := distance(m[1:3], h[1:3])) <= RADIUS]
+        return [(x[0], y[0], d, y[4], _cut(x[1:3]), _cut(y[1:3])) for x, y, d in out if x[0] != y[0]]
 
     for batch in batches:
         out: list[tuple] = []
-        for p, name, a, b, n in zip(batch["pivot"], batch["name"], batch["a"], batch["b"], batch["n"]):
-            if p != pivot:
-                out += links()
-                pivot, cell = p, []
-            cell.append((name, a, b, n))
+        for c, *member in zip(batch["cell"], batch["name"], batch["a"], batch["b"], batch["other"], batch["n"], batch["guest"]):
+            if c != at:
+                if len(cell) > 1:
+                    out += links()
+                at, cell = c, []
+            cell.append(tuple(member))
+        yield pd.DataFrame(out, columns=["x", "y", "d", "y_rows", "x_cut", "y_cut"])
+    yield pd.DataFrame(links() if len(cell) > 1 else [], columns=["x", "y", "d", "y_rows", "x_cut", "y_cut"])
+
+
+def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs of names in; those within the radius out, two that were cut short only without a contradiction."""
+    for batch in batches:
+        out = []
+        for x, xa, xb, y, ya, yb, n in zip(*(batch[c] for c in ("x", "xa", "xb", "y", "ya", "yb", "n"))):
+            cut = _cut((xa, xb)), _cut((ya, yb))
+            most = 0 if all(cut) else RADIUS
+            if (d := distance((xa, xb), (ya, yb), most)) <= most:
+                out.append((x, y, d, n, *cut))
         yield pd.DataFrame(out, columns=["x", "y", "d", "y_rows", "x_cut", "y_cut"])
-    yield pd.DataFrame(links(), columns=["x", "y", "d", "y_rows", "x_cut", "y_cut"])
-
-
-def _pivots(names: DataFrame) -> DataFrame:
-    """``pivot, name``: each name in the cells of its parts and of the pivots within 1 of these."""
-    parts = names.select("name", F.explode(F.array("a", "b")).alias("part")).where("part != '' and not endswith(part, '.')")
-    known = parts.select("part").distinct()
-    joined = names.where("b = ''").select(
-        "name",
-        F.explode(
-            F.flatten(
-                F.transform(
-                    F.sequence(F.lit(3), F.greatest(F.length("a") - 3, F.lit(3))),
-                    lambda s: F.array(F.substring("a", F.lit(1), s), F.substring("a", s + 1, F.length("a"))),
-                )
-            )
-        ).alias("part"),
-    )
-    split = joined.join(known, "part", "left_semi").select("name", "part")
-    # pivots within 1 of each other share a string that is either of them, or either without a letter
-    keys = known.select(
-        "part",
-        F.explode(
-            F.array_distinct(
-                F.concat(
-                    F.array("part"),
-                    F.transform(F.sequence(F.lit(1), F.length("part")), lambda i: F.concat(F.substring("part", F.lit(1), i - 1), F.substring("part", i + 1, F.length("part")))),
-                )
-            )
-        ).alias("key"),
-    )
-    other = keys.withColumnRenamed("part", "pivot")
-    close = keys.join(other, "key").where((F.levenshtein("part", "pivot", 1) >= 0) | (F.array_sort(F.split("part", "")) == F.array_sort(F.split("pivot", "")))).select("part", "pivot").distinct()
-    placed = parts.unionByName(split).join(close, "part").select("pivot", "name").distinct()
-    # two names cut short in different parts share no whole part: these alone also meet by how their parts begin
-    begin = [F.concat(F.lit("begin "), F.substring(F.replace(p, F.lit("."), F.lit("")), 1, 3)) for p in ("a", "b")]
-    cut = names.where("endswith(a, '.') or endswith(b, '.')").select(F.explode(F.array_distinct(F.array(*begin))).alias("pivot"), "name")
-    return placed.unionByName(cut)
+
+
+def _stretches(text: Column, reach: range) -> Column:
+    """Strings of which one of ``reach`` 0 is shared by any text at most ``RADIUS`` edits away among its own of reach ``-RADIUS`` to ``RADIUS``.
+
+    Of three stretches of a text, a letter apart, so many edits leave one whole, moved by as many letters.
+    """
+    size, out = F.length(text), []
+    for longer in reach:
+        m = size + longer
+        g = F.greatest(F.floor((m - 2) / 3), F.lit(0)).cast("int")
+        starts = [("a", F.lit(1)), ("c", F.greatest(size - g + 1, F.lit(1))), *[("b", F.greatest(g + 2 + s, F.lit(1))) for s in reach]]
+        out += [F.concat(m.cast("string"), F.lit(sign), F.substring(text, at, g)) for sign, at in starts]
+    return F.array_distinct(F.array(*out))
+
+
+#: Letters up to which all ways to leave two out are few enough.
+FEW = 24
+
+
+def shorter(text: str) -> set[str]:
+    """A text and all that it becomes without one of its letters: texts one edit apart share one, which costs either a letter at most."""
+    return {text, *(text[:i] + text[i + 1 :] for i in range(len(text)))}
+
+
+def _keyed(parts: DataFrame) -> DataFrame:
+    """``part, key`` with the keys of :func:`shorter`."""
+
+    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 1000):
+                yield pd.DataFrame([(p, k) for p in batch["part"][at : at + 1000] for k in shorter(p)], columns=["part", "key"])
+
+    return parts.mapInPandas(keys, "part string, key string")
+
+
+def _close(wanted: DataFrame, known: DataFrame) -> DataFrame:
+    """``part, pivot``: for each wanted part the pivots at distance 1, found by the keys that they share."""
+    pivots = _keyed(known).withColumnRenamed("part", "pivot")
+    one = (F.levenshtein("part", "pivot", 1) >= 0) | (F.array_sort(F.split("part", "")) == F.array_sort(F.split("pivot", "")))
+    return _keyed(wanted).join(pivots, "key").where((F.col("part") != F.col("pivot")) & one).select("part", "pivot").distinct()
+
+
+def _keys(text: Column, edits_apart: int) -> Column:
+    """Strings of which two texts share one if they are that many edits apart.
+
+    For two edits long texts have stretches instead, and those about as long as ``FEW`` have both.
+    """
+    once = F.udf(lambda t: sorted(shorter(t)), "array<string>")
+    twice = F.udf(lambda t: sorted({k for s in shorter(t) for k in shorter(s)}) if len(t) <= FEW else [], "array<string>")
+    if edits_apart == 1:
+        return once(text)
+    long = F.when(F.length(text) >= FEW - RADIUS, _stretches(text, REACH)).otherwise(F.array().cast("array<string>"))
+    return F.concat(twice(text), long)
+
+
+MEMBER = ["name", "a", "b", "other", "n"]
+
+
+def _members(names: DataFrame) -> DataFrame:
+    """``part`` and the columns of ``MEMBER`` for each part of the names of two parts that was not cut short."""
+    sides = [F.struct(F.col(p).alias("part"), F.col(o).alias("other")) for p, o in (("a", "b"), ("b", "a"))]
+    two = names.where("b != ''").select("name", "a", "b", "n", F.explode(F.array_distinct(F.array(*sides))).alias("side"))
+    return two.select("side.part", "name", "a", "b", "side.other", "n").where("not endswith(part, '.')")
+
+
+def _pieces(names: DataFrame, longest: int) -> DataFrame:
+    """``part`` and ``MEMBER`` for the pieces of names in one word, at each place where it may be two parts.
+
+    Two letters swapped across that place are swapped back as well. No part has more than ``longest`` letters.
+    """
+    size, most = F.length("a"), longest + 1
+    places = F.filter(F.sequence(F.greatest(size - most, F.lit(1)), F.greatest(F.least(size - 1, F.lit(most)), size - most, F.lit(1))), lambda s: (s < size) & (s <= most))
+    swapped = lambda s: F.concat(F.substring("a", F.lit(1), s - 1), F.substring("a", s + 1, F.lit(1)), F.substring("a", s, F.lit(1)), F.substring("a", s + 2, size))
+    cuts = lambda t, s: F.array(F.substring(t, F.lit(1), s), F.substring(t, s + 1, size))
+    parts = F.flatten(F.transform(places, lambda s: F.concat(cuts(F.col("a"), s), cuts(swapped(s), s))))
+    one = names.where("b = '' and not endswith(a, '.')")
+    return one.select(F.explode(F.array_distinct(parts)).alias("part"), "name", "a", "b", F.lit(None).cast("string").alias("other"), "n")
+
+
+def _placed(names: DataFrame) -> DataFrame:
+    """``cell, guest`` and the columns of ``MEMBER``.
+
+    A name is at home in the cells of its own parts, and a guest of the pivots at distance 1 of one of
+    them. Two names within the radius either have a part in common and meet at home, or have two pairs of
+    parts at distance 1, and then it is enough that either is a guest by one part, the longer, which has
+    fewer near. A cell of more than ``CELL`` names is divided: by strings that other parts within reach
+    share, and for names without a true distance into shares.
+    """
+    members = materialize(_members(names))
+    known = members.select("part").distinct()
+    longest = members.agg(F.max(F.length("part")).alias("most")).first()["most"] or 0
+    pieces = _pieces(names, longest)
+    guests = members.where("endswith(other, '.') or length(part) > length(other) or length(part) = length(other) and part >= other").unionByName(pieces)
+    guests = materialize(guests)
+    near_by = _close(guests.select("part").distinct(), known)
+    one_word = guests.where("b = ''").join(known, "part", "left_semi")
+    away = guests.join(near_by, "part").select(F.col("pivot").alias("part"), *MEMBER).unionByName(one_word).withColumn("guest", F.lit(True))
+    sizes = members.groupBy("part").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > CELL)
+    every = materialize(members.withColumn("guest", F.lit(False)).unionByName(away))
+    hot = materialize(sizes.withColumn("shares", F.ceil(F.col("size") / CELL)).select("part", "shares"))
+    if hot.isEmpty():
+        return every.withColumnRenamed("part", "cell")
+    calm = every.join(hot, "part", "left_anti").withColumnRenamed("part", "cell")
+    crowd = every.join(hot, "part")
+    exact = "b != '' and not endswith(other, '.')"
+    shared = crowd.where(exact).withColumn("key", F.explode(F.when(F.col("guest"), _keys(F.col("other"), 1)).otherwise(_keys(F.col("other"), 2))))
+    own = F.array(F.pmod(F.xxhash64("name"), F.col("shares")))
+    spread_out = crowd.where(f"not guest or not ({exact})").withColumn("key", F.explode(F.when(F.expr(exact), own).otherwise(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1))))
+    split = [d.withColumn("cell", F.concat_ws(sign, "part", "key")).select(calm.columns) for d, sign in ((shared, "|"), (spread_out, "#"))]
+    return calm.unionByName(split[0]).unionByName(split[1])
+
+
+def _one_word(names: DataFrame) -> DataFrame:
+    """Candidates among names in one word."""
+    one = names.where("b = '' and not endswith(a, '.')")
+    home = one.select(F.col("name").alias("y"), F.col("a").alias("ya"), F.col("b").alias("yb"), "n", F.explode(_stretches(F.col("a"), range(1))).alias("key"))
+    probe = one.select(F.col("name").alias("x"), F.col("a").alias("xa"), F.col("b").alias("xb"), F.explode(_stretches(F.col("a"), REACH)).alias("key"))
+    near_by = probe.join(home, "key").where((F.col("x") < F.col("y")) & (F.levenshtein("xa", "ya", 2 * RADIUS) >= 0))
+    return near_by.select("x", "xa", "xb", "y", "ya", "yb", "n").distinct()
+
+
+def _both_cut(names: DataFrame) -> DataFrame:
+    """Candidates among names cut short in different parts, which share no whole part: by how both parts begin."""
+    bare = [F.replace(p, F.lit("."), F.lit("")) for p in ("a", "b")]
+    cut = names.where("endswith(a, '.') or endswith(b, '.')")
+    sizes = [F.sequence(F.lit(1), F.least(F.length(p), F.lit(3))) for p in bare]
+    pair = lambda i, j: F.array_sort(F.array(F.substring(bare[0], F.lit(1), i), F.substring(bare[1], F.lit(1), j)))
+    begins = F.array_distinct(F.flatten(F.transform(sizes[0], lambda i: F.transform(sizes[1], lambda j: pair(i, j)))))
+    home = cut.select(F.col("name").alias("y"), F.col("a").alias("ya"), F.col("b").alias("yb"), "n", pair(F.lit(3), F.lit(3)).alias("key"))
+    probe = cut.select(F.col("name").alias("x"), F.col("a").alias("xa"), F.col("b").alias("xb"), F.explode(begins).alias("key"))
+    return probe.join(home, "key").where("x != y").select("x", "xa", "xb", "y", "ya", "yb", "n").distinct()
+
+
+def _two_apart(names: DataFrame, links: DataFrame) -> DataFrame:
+    """Candidates of names cut short that have no whole name within 1: those with their beginning whose other part is 2 edits away."""
+    placed = links.where("x_cut and not y_cut and d < 2").select(F.col("x").alias("name"))
+    members = _members(names)
+    lost = members.where("endswith(other, '.')").join(placed, "name", "left_anti")
+    lost = materialize(lost.withColumn("begin", F.expr("substring(other, 1, length(other) - 1)")).withColumn("size", F.least(F.length("begin"), F.lit(4))))
+    sizes = [r["size"] for r in lost.select("size").distinct().collect()]  # 1 to 4
+    probe = lost.select(F.col("name").alias("x"), F.col("a").alias("xa"), F.col("b").alias("xb"), "part", "begin", F.expr("substring(begin, 1, 4)").alias("key"))
+    starts = F.explode(F.array_distinct(F.array(*[F.substring("other", 1, n) for n in sizes] or [F.lit("")])))
+    home = members.where("not endswith(other, '.')").select(F.col("name").alias("y"), F.col("a").alias("ya"), F.col("b").alias("yb"), "n", F.col("part").alias("pivot"), "other", starts.alias("key"))
+    reach = (F.abs(F.length("part") - F.length("pivot")) <= RADIUS) & (F.levenshtein("part", "pivot", 2 * RADIUS) >= 0)
+    return probe.join(home, "key").where("startswith(other, begin)").where(reach).select("x", "xa", "xb", "y", "ya", "yb", "n").distinct()
+
+
+def linked(names: DataFrame) -> DataFrame:
+    """``x, y, d, y_rows, x_cut, y_cut``: all pairs of the distinct ``name, a, b, n`` within the radius."""
+    shape = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = _placed(names).select("cell", *MEMBER, "guest").repartition(shape, "cell").sortWithinPartitions("cell", "name")
+    met = materialize(cells.mapInPandas(_cells, LINKS))
+    pairs = _one_word(names).unionByName(_both_cut(names)).unionByName(_two_apart(names, met))
+    return met.unionByName(pairs.mapInPandas(_compared, LINKS)).distinct()
 
 
 def _families(names: DataFrame, links: DataFrame) -> DataFrame:
@@ -341,10 +531,7 @@ def makers(entries: DataFrame, row: str = "entry_id", text: str = "brand") -> Da
     read_rows = spread(slim, "row").mapInPandas(parse, "row long, first string, trade string, a string, b string")
     read_rows = materialize(read_rows.withColumn("name", F.concat_ws("-", "a", "b")))
     names = materialize(read_rows.groupBy("name", "a", "b").agg(F.count(F.lit(1)).alias("n")))
-    shape = names.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    cells = _pivots(names).join(names, "name").repartition(int(shape), "pivot").sortWithinPartitions("pivot", "name")
-    links = cells.select("pivot", "name", "a", "b", "n").mapInPandas(_cells, "x string, y string, d int, y_rows long, x_cut boolean, y_cut boolean")
-    families = materialize(_families(names.select("name"), materialize(links.distinct())))
+    families = materialize(_families(names.select("name"), materialize(linked(names))))
     placed = read_rows.join(families, "name").select("row", "family", "first", "trade")
     kinds = placed.groupBy("family", "first", "trade").agg(F.count(F.lit(1)).alias("n"))
     # a family has few first names and trades, however many rows

@@ -1,7 +1,7 @@
 import random
 from datetime import datetime
 
-from vaunu.llm.survivors import align, elect, field_winners, progressive, survivors, text_consensus
+from vaunu.llm.survivors import align, ballot, elect, field_winners, progressive, survivors, text_consensus
 from pyspark.sql import functions as F
 
 SCHEMA = (
@@ -61,3 +61,24 @@ def test_consensus_of_a_hot_group(spark):
     rows = [("g", f"Usva 1.6 Sedan{'' if i % 3 else ' x' + str(i)}") for i in range(3000)] + [("g", None), ("g", " "), ("h", None)]
     df = spark.createDataFrame(rows, "k string, v string")
     assert [tuple(r) for r in text_consensus(df, "k", "v", F.lit(1)).collect()] == [("g", "Usva 1.6 Sedan")]
+
+
+def test_ballot_sums_weights_and_carries_the_most_trusted_row():
+    votes = ballot(["co2=90"], [(["co2=90"], 1, 7), (["co2=100"], 2, 3), (["co2=80"], 2, 1)])
+    assert sorted(votes) == [("1 0", "co2=100", 2, 3), ("1 0", "co2=80", 2, 1), ("1 0", "co2=90", 1, 7)]
+    votes = ballot(["a", "b"], [(["a", "b"], 5, 2), (["b", "c"], 4, 9), (["c"], 6, 1)])
+    assert sorted(votes) == [("a", "a", 5, 2), ("b", "b", 4, 9), ("c", "c", 4, 9)]
+    many = [([f"x={i}"], i, i) for i in range(2000)]  # more rows than a double has bits
+    assert min(ballot(["x=0"], many), key=lambda v: v[2:]) == ("1 0", "x=0", 0, 0)
+
+
+def test_winners_come_from_the_votes(spark):
+    """The plan of the winners runs the operator, and a hot group of many blocks agrees with the order of trust."""
+    rng = random.Random(2)
+    rows = [row(i, co2=rng.randint(0, 500), rank=rng.randint(1, 3), count=rng.randint(1, 400), day=rng.randint(1, 28), records=rng.sample([f"r{k}" for k in range(300)], rng.randint(1, 60))) for i in range(1500)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = field_winners(df)
+    assert "MapInPandas" in got._jdf.queryExecution().toString()
+    want = [min((r for r in rows if r[5] > 0), key=lambda r: (r[6], r[0]))[0], min(rows, key=lambda r: (-r[8].toordinal(), r[0]))[0],
+            min(rows, key=lambda r: (-len({x[0] for x in r[9]}), -r[8].toordinal(), r[0]))[0]]
+    assert [tuple(r) for r in got.collect()] == [("a", 1500, *want)]

@@ -4,9 +4,8 @@ Every field is decided by weighted token votes. Texts are aligned token by token
 spelling, nearest to the heaviest one first, is aligned with the profile of those before it; each
 column of the profile goes to the token with most weight, and the existing value closest to that
 consensus survives. A number is a single token; for a list of records the tokens are record ids, which
-align by themselves, and the consensus holds every id voted for. There the rows have an order of trust,
-so a token weighs what its most trusted row weighs, and the value that has most of the elected tokens
-is the closest.
+have no order: equal ids align, and the consensus holds every id voted for. There the rows have an order
+of trust, and each outweighs all less trusted ones together (``elect``).
 
 Groups never meet in one task: equal values are combined first, also on the map side, and votes are
 summed. Spellings of a group are aligned in blocks of about ``BLOCK``; the profiles of several blocks
@@ -60,15 +59,15 @@ def progressive(centre: str, spellings: list[tuple[str, float]]) -> list[tuple[i
     guide order is the distance to the centre; the centre itself opens the profile without a weight.
     """
     first = centre.split(" ")
-    columns: list[tuple[int, dict[str, float]]] = [(2 * i + 1, {t: 0.0}) for i, t in enumerate(first)]
-    bare = [{t: 0.0} for t in first]
+    columns: list[tuple[int, dict[str, float]]] = [(2 * i + 1, {t: 0}) for i, t in enumerate(first)]
+    bare = [{t: 0} for t in first]
     for _, value, weight in sorted((align(bare, v.split(" "))[0], v, w) for v, w in spellings):
         tokens = value.split(" ")
         _, places = align([c for _, c in columns], tokens)
         fresh: list[tuple[int, int, dict[str, float]]] = []
         for nth, (at, token) in enumerate(zip(places, tokens)):
             if at >= 0:
-                columns[at][1][token] = columns[at][1].get(token, 0.0) + weight
+                columns[at][1][token] = columns[at][1].get(token, 0) + weight
             else:
                 fresh.append((-1 - at, nth, {token: weight}))
         for at, _, column in reversed(fresh):
@@ -134,24 +133,64 @@ def text_consensus(df: DataFrame, key: str, column: str, weight: Column) -> Data
     return single.unionByName(closest)
 
 
+def ballot(centre: list[str], spellings: list[tuple[list[str], int, int]]) -> list[tuple[str, str, int, int]]:
+    """``column, token, trust, no``: the token votes of a block's values, each with the most trusted row that cast one.
+
+    A row outweighs all less trusted ones together, so weights are powers of two, summed over the aligned
+    values; the highest bit of a sum is its most trusted row, by which sums of other blocks compare too.
+    Tokens ``slot=token`` are aligned progressively; others are names of things, unordered, and a column
+    holds one of them.
+    """
+    order = sorted(spellings, key=lambda s: s[1:])
+    weighted = [(tokens, 1 << (len(order) - 1 - i)) for i, (tokens, _, _) in enumerate(order)]
+    if any("=" in t for t in centre):
+        votes = [(f"{slot} {nth}", token, weight) for slot, nth, token, weight in progressive(" ".join(centre), [(" ".join(t), w) for t, w in weighted])]
+    else:
+        sums: dict[str, int] = {}
+        for tokens, weight in weighted:
+            for token in tokens:
+                sums[token] = sums.get(token, 0) + weight
+        votes = [(token, token, weight) for token, weight in sums.items()]
+    return [(column, token, *order[len(order) - weight.bit_length()][1:]) for column, token, weight in votes]
+
+
+def _ballots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        rows = []
+        for key, field, centre, spellings in zip(batch["key"], batch["field"], batch["centre"], batch["spellings"]):
+            rows += [(key, field, *vote) for vote in ballot(list(centre), [(list(s["tokens"]), int(s["trust"]), int(s["no"])) for s in spellings])]
+        yield pd.DataFrame(rows, columns=["key", "field", "column", "token", "trust", "no"])
+
+
 def elect(values: DataFrame) -> DataFrame:
-    """``key, field, no``: for each key and field the row whose value is closest to the elected tokens.
+    """``key, field, no``: for each key and field the row whose value is closest to the consensus of the token votes.
 
     ``values`` has ``key, field, tokens, trust, no``: distinct tokens of a row's value, and its trust, the
-    smaller the better. A token's weight is that of its most trusted row; each slot goes to its heaviest
-    token. Tokens ``slot=token`` share a slot, others have one of their own. The value with most elected
-    tokens is the closest; ties go to the more trusted row, then to the smallest ``no``.
+    smaller the better. The values of a group are aligned in blocks and vote by :func:`ballot`; each column
+    goes to its heaviest token, and these are the consensus. The distance to it counts tokens to put in or
+    take out: those of the value and of the consensus less twice those in both. Ties go to the more trusted
+    row, then to the smallest ``no``.
     """
-    best = F.min(F.struct("trust", "no")).alias("best")
-    spelled = values.groupBy("key", "field", F.array_sort("tokens").alias("tokens")).agg(best).select("key", "field", "tokens", "best")
-    cells = spelled.select("key", "field", "tokens", "best", F.explode("tokens").alias("token")).withColumn("slot", F.substring_index("token", "=", 1))
-    elected = cells.groupBy("key", "field", "slot").agg(F.min(F.struct("best", "token"))["token"].alias("winner"))
-    near = (
-        cells.join(elected, ["key", "field", "slot"])
-        .groupBy("key", "field", "tokens")
-        .agg(F.count_if(F.col("token") == F.col("winner")).alias("hits"), F.min("best").alias("best"))
+    group, best = ["key", "field"], F.min(F.struct("trust", "no")).alias("best")
+    spelled = values.groupBy(*group, F.array_sort("tokens").alias("tokens")).agg(best)
+    groups = spelled.groupBy(*group).agg(F.min(F.struct("best", "tokens")).alias("first"), F.count(F.lit(1)).alias("n"))
+    single = groups.where("n = 1").select(*group, F.col("first.best.no").alias("no"))
+    several = spelled.join(groups.where("n > 1").select(*group, F.col("first.tokens").alias("centre"), "n"), group)
+    block = F.pmod(F.xxhash64("tokens"), F.ceil(F.col("n") / BLOCK))
+    elected = (
+        several.groupBy(*group, "centre", block.alias("block"))
+        .agg(F.collect_list(F.struct("tokens", "best.trust", "best.no")).alias("spellings"))
+        .select(*group, "centre", "spellings")
+        .mapInPandas(_ballots, "key string, field string, column string, token string, trust long, no long")
+        .groupBy(*group, "column", "token")
+        .agg(best)
+        .groupBy(*group, "column")
+        .agg(F.min(F.struct("best", "token"))["token"].alias("token"))
+        .select(*group, "token", F.lit(1).alias("hit"))
     )
-    return near.groupBy("key", "field").agg(F.min(F.struct(-F.col("hits"), "best"))["best"]["no"].alias("no"))
+    cells = several.select(*group, "tokens", "best", F.explode("tokens").alias("token"))
+    near = cells.join(elected, [*group, "token"], "left").groupBy(*group, "tokens").agg((F.count(F.lit(1)) - 2 * F.count("hit")).alias("distance"), F.min("best").alias("best"))
+    return single.unionByName(near.groupBy(*group).agg(F.min(F.struct("distance", "best"))["best"]["no"].alias("no")))
 
 
 def field_winners(df: DataFrame) -> DataFrame:

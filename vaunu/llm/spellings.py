@@ -40,6 +40,7 @@ TRADES = {
     "automobili": "", "caravans": "cvns", "coachworks": "cwks", "conversions": "", "fahrzeugbau": "fzgb", "karosseri": "", "motor company": "motor co",
     "reisemobile": "r mobile", "special vehicles": "spec vehicles", "trailers": "trlrs trl",
 }
+FORMS = [(trade, form.split()) for trade, short in TRADES.items() for form in [trade, *([short] if short in ("motor co", "r mobile", "spec vehicles") else short.split())]]
 #: Legal forms, and what is typed where there is no name.
 LEGAL = re.compile(r"(?<!\w)(oyj?|ab|ag|gmbh|ltd|inc|llc|kft|a/s|s\.?\s?r\.?\s?l|s\.?\s?p\.?\s?a|d\.?\s?o\.?\s?o)(?!\w)\.?")
 NO_NAME = {"tuntematon", "muu merkki", "muu", "unknown", "none", "ei tiedossa", "ei merkkia", "other", "n a", "testi", "xx"}
@@ -57,16 +58,12 @@ def _vowels(word: str) -> str:
 
 def _trade_at(words: list[tuple[str, bool]], i: int) -> tuple[str, int] | None:
     """The trade that begins at word ``i`` and how many words it takes; a word with a point may be cut short."""
-    for trade, short in TRADES.items():
-        for form in [trade, *([short] if short in ("motor co", "r mobile", "spec vehicles") else short.split())]:
-            parts = form.split()
-            if i + len(parts) > len(words):
-                continue
-            ok = True
-            for (word, dotted), part in zip(words[i : i + len(parts)], parts):
-                ok &= word == part or dotted and len(word) >= 2 and part.startswith(word)
-            if ok and (len(parts) > 1 or len(words[i][0]) >= 3):
-                return trade, len(parts)
+    for trade, parts in FORMS:
+        if parts[0][0] != words[i][0][0] or i + len(parts) > len(words):
+            continue
+        ok = all(word == part or dotted and len(word) >= 2 and part.startswith(word) for (word, dotted), part in zip(words[i : i + len(parts)], parts))
+        if ok and (len(parts) > 1 or len(words[i][0]) >= 3):
+            return trade, len(parts)
     return None
 
 
@@ -131,6 +128,7 @@ def edits(a: str, b: str, most: int) -> int:
     return min(rows[-1][-1], most + 1)
 
 
+@lru_cache(1 << 16)
 def letters(text: str) -> int:
     """The set of letters in a text, a bit for each of 64 classes."""
     bits = 0
@@ -248,7 +246,7 @@ def visits(home: list[tuple[str, str, str]], guests: list[tuple[str, str, str]])
         if other.endswith("."):
             most, half = len(other) - 1, (len(other) - 1) // 2
             left, right = other[:half], other[half + 1 : most]  # an edit or a swap that keeps the length spares one of them
-            fits = [j for j, (_, _, o) in enumerate(home) if o[:half] == left or o[half + 1 : most] == right]
+            fits = [j for j, (_, _, o) in enumerate(home) if (o[:half] == left or o[half + 1 : most] == right) and within_one(o[:most], other[:most])]
         else:
             own = letters(other)
             fits = [j for j, s in enumerate(sets) if (own ^ s).bit_count() <= 2 and within_one(other, home[j][2])]
@@ -275,7 +273,9 @@ def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             out += [(paired[i], whole[j], d) for i, j, d in visits([m[1:4] for m in whole], [m[1:4] for m in paired])]
         for m in guests:
             if not m[2]:  # one word: it has a distance to all at home
-                out += [(h, m, d) if _cut(h[1:3]) else (m, h, d) for h in home if (d := distance(m[1:3], h[1:3])) <= RADIUS]
+                own = letters(m[1])
+                alike = [h for h in home if (own ^ letters(h[1] + h[2])).bit_count() <= 2 * RADIUS]
+                out += [(h, m, d) if _cut(h[1:3]) else (m, h, d) for h in alike if (d := distance(m[1:3], h[1:3])) <= RADIUS]
         return [(x[0], y[0], d, y[4], _cut(x[1:3]), _cut(y[1:3])) for x, y, d in out if x[0] != y[0]]
 
     for batch in batches:
